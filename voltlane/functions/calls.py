@@ -22,8 +22,8 @@ def strict_call_elements(body: Column) -> Column:
     return F.from_json(F.concat(F.lit('{"m":'), body, F.lit("}")), "m array<string>")["m"]
 
 
-def payload_struct(payload: Column) -> Column:
-    return F.from_json(payload, S.PAYLOAD)
+def payload_struct(payload: Column, contract: str = S.PAYLOAD) -> Column:
+    return F.from_json(payload, contract)
 
 
 def utc_text(ts: Column) -> Column:
@@ -31,10 +31,12 @@ def utc_text(ts: Column) -> Column:
 
 
 def event_time(ts: Column, strict_millis: bool = False) -> Column:
-    """ISO-8601 text to timestamp, null when it is not one. ``strict_millis`` accepts three-digit fractions only."""
-    pattern = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
-    pattern += r"\.\d{3}([+-]\d{2}(:?\d{2})?|Z)$" if strict_millis else r"(\.\d{1,9})?([+-]\d{2}:?\d{2}|[+-]\d{2}|Z)?$"
-    return F.when(ts.rlike(pattern), ts.try_cast("timestamp"))
+    """ISO-8601 date and time to timestamp, null when the text is none. ``strict_millis`` accepts three-digit
+    fractions only."""
+    complete = (F.substring(ts, 11, 1) == "T") & (F.length(ts) >= 19)
+    if strict_millis:
+        complete = ts.rlike(r"T\d{2}:\d{2}:\d{2}\.\d{3}([+-]\d{2}(:?\d{2})?|Z)$")
+    return F.when(complete, ts.try_cast("timestamp"))
 
 
 def iso_text(ts: Column) -> Column:

@@ -14,8 +14,10 @@ ROWS_PER_BLOCK = 1_000_000
 MERGE = {"sum": F.sum, "min": F.min, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}
 
 
-def arrival_blocks(df: DataFrame, ord: str = "offset", size: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Blocks of at most ``size`` rows of a key, as offsets are unique per key."""
+def arrival_blocks(df: DataFrame, ord: str = "offset", size: int = ROWS_PER_BLOCK, stage: bool = True) -> DataFrame:
+    """Blocks of at most ``size`` rows of a key, as offsets are unique per key. The summaries and the rows both read
+    the result: it is written once, unless ``df`` is a table already (``stage=False``)."""
+    df = staged(df, "rows") if stage else df
     return df.withColumn("block", F.expr(f"`{ord}` div {int(size)}"))
 
 

@@ -7,8 +7,8 @@ from voltlane import schemas as S
 from voltlane.functions import calls as C
 from voltlane.functions.literals import literal_to_json
 
-# Line pattern, and the timestamps written with a space instead of a T.
-LINE = r"^([^\s:]+)\s*:\s*(.+)$"
+# White space around the parts of a line, and the timestamps written with a space instead of a T.
+BLANK = " \t\r\n\f\x0b"
 SPACED_STAMP = r'"(\d{8})\s+(\d+Z)"'
 
 
@@ -17,9 +17,12 @@ def parse_lines(lines: DataFrame, python_literals: bool = False) -> DataFrame:
 
     ``message`` is the call as JSON text with repaired timestamps. ``python_literals`` also accepts calls written
     as Python literals holding True, False or None; it sends only the lines that are no JSON to Python."""
-    split = lines.withColumn("chargerId", F.regexp_extract("line", LINE, 1)).withColumn(
-        "body", F.regexp_extract("line", LINE, 2)
-    )
+    # ``charger : call``, where the charger has neither a colon nor white space in it.
+    colon = F.instr("line", ":")
+    split = lines.withColumn("chargerId", F.rtrim(F.substring_index("line", ":", 1), F.lit(BLANK)))
+    rest = F.ltrim(F.substring("line", colon + 1, F.length("line")), F.lit(BLANK))
+    matches = (colon > 0) & (F.length("chargerId") > 0) & (F.length(rest) > 0) & ~F.col("chargerId").rlike(r"\s")
+    split = split.withColumn("body", F.when(matches, rest))
     split = split.withColumn("message", F.regexp_replace("body", SPACED_STAMP, '"$1T$2"'))
     split = C.evaluate_once(split, call=C.strict_call_elements(F.col("message")))
     if python_literals:
@@ -34,7 +37,7 @@ def parse_lines(lines: DataFrame, python_literals: bool = False) -> DataFrame:
     number = kind_text.try_cast("double")
     other_json = ~F.col("body").startswith("[") & F.try_parse_json("body").isNotNull()
     reason = (
-        F.when(F.col("chargerId") == "", S.NO_MATCH)
+        F.when(F.col("body").isNull(), S.NO_MATCH)
         .when(F.col("call").isNull(), F.when(other_json, S.NOT_ARRAY).otherwise(S.NOT_PARSED))
         .when(F.size("call") < 2, S.TOO_SHORT)
         .when(~F.coalesce(is_number & number.isin(2.0, 3.0), F.lit(False)),
@@ -43,7 +46,7 @@ def parse_lines(lines: DataFrame, python_literals: bool = False) -> DataFrame:
     kind = F.when(reason.isNotNull(), "reject").when(number == 2.0, "request").otherwise("response")
     return split.select(
         *lines.columns,
-        F.nullif("chargerId", F.lit("")).alias("chargerId"),
+        F.when(F.col("body").isNotNull(), F.col("chargerId")).alias("chargerId"),
         kind.alias("kind"),
         F.get("call", F.lit(1)).alias("uniqueId"),
         F.when(F.col("call").isNotNull(), F.col("message")).alias("message"),

@@ -4,15 +4,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltlane import schemas as S
+from voltlane.functions.calls import iso_text, session_id
 from voltlane.operators import blocks as B
-from voltlane.operators.sessions import SESSION_KEY, energy, seconds_between
+from voltlane.operators.sessions import GROUP, energy, seconds_between
 
 
 def state_columns() -> list:
     """Live-state columns from startTime, lastSeen, powerSum, powerCount and runningCount."""
     seconds = seconds_between("startTime", "lastSeen")
     return [
-        F.col("sessionId"),
+        session_id(F.col("chargerId"), F.col("transactionId")).alias("sessionId"),
         F.col("chargerId").alias("stationId"),
         F.col("transactionId"),
         F.when(F.col("runningCount") > 0, "active").otherwise("pending").alias("status"),
@@ -28,7 +29,7 @@ def state_columns() -> list:
 
 def running_state(messages: DataFrame) -> DataFrame:
     """Latest state of every session without a stop."""
-    grouped = messages.groupBy(*SESSION_KEY).agg(
+    grouped = messages.groupBy(*GROUP).agg(
         F.min("eventTime").alias("startTime"),
         F.max("eventTime").alias("lastSeen"),
         F.sum("power").alias("powerSum"),
@@ -40,19 +41,19 @@ def running_state(messages: DataFrame) -> DataFrame:
 
 
 def running_state_replay(
-    messages: DataFrame, order: str = "arrival", rows_per_block: int = B.ROWS_PER_BLOCK
+    messages: DataFrame, order: str = "arrival", rows_per_block: int = B.ROWS_PER_BLOCK, stage: bool = True
 ) -> DataFrame:
     """State of a session after each of its non-stop messages: in arrival order, as a reader of the live topic
     sees it, or in event-time order."""
-    rows = messages.filter(~F.col("isStop")).select(*SESSION_KEY, "offset", "eventTime", "power", "action")
+    rows = messages.filter(~F.col("isStop")).select(*GROUP, "offset", "eventTime", "power", "action")
     rows = rows.withColumn("reading", (F.col("action") == S.METER).cast("long")).drop("action")
     rows = rows.withColumn("powered", F.col("power").isNotNull().cast("long"))
     if order == "arrival":
         by = ["offset"]
-        rows = B.arrival_blocks(rows, "offset", rows_per_block)
+        rows = B.arrival_blocks(rows, "offset", rows_per_block, stage)
     else:
         by = ["eventTime", "offset"]
-        rows = B.range_blocks(rows, ["sessionId", *by])
+        rows = B.range_blocks(rows, [*GROUP, *by])
     parts = {
         "startTime": ("eventTime", "min"),
         "lastSeen": ("eventTime", "max"),
@@ -61,19 +62,19 @@ def running_state_replay(
         "runningCount": ("reading", "sum"),
     }
     totals = {f"{name}Before": (B.MERGE[how](F.col(c)), how) for name, (c, how) in parts.items()}
-    rows = B.with_carry(rows, SESSION_KEY, totals)
-    so_far = B.in_block(SESSION_KEY, by).rowsBetween(B.Window.unboundedPreceding, B.Window.currentRow)
+    rows = B.with_carry(rows, GROUP, totals)
+    so_far = B.in_block(GROUP, by).rowsBetween(B.Window.unboundedPreceding, B.Window.currentRow)
     join = {"min": F.least, "max": F.greatest, "sum": lambda a, b: F.coalesce(a + b, a, b)}
     for name, (c, how) in parts.items():
         rows = rows.withColumn(name, join[how](B.MERGE[how](F.col(c)).over(so_far), F.col(f"{name}Before")))
     return rows.select("offset", *state_columns())
 
 
-def with_first_event_time(messages: DataFrame, rows_per_block: int = B.ROWS_PER_BLOCK) -> DataFrame:
+def with_first_event_time(
+    messages: DataFrame, rows_per_block: int = B.ROWS_PER_BLOCK, stage: bool = True
+) -> DataFrame:
     """Each message with the first event time of its session and the id built from it."""
-    rows = B.arrival_blocks(messages, "offset", rows_per_block)
+    rows = B.arrival_blocks(messages, "offset", rows_per_block, stage)
     first = {"sessionStart": (F.min("eventTime"), "min")}
-    rows = B.with_carry(rows, SESSION_KEY, first, whole_group=True).drop("block")
-    from voltlane.functions.calls import iso_text
-
+    rows = B.with_carry(rows, GROUP, first, whole_group=True).drop("block")
     return rows.withColumn("startSessionId", F.concat_ws("_", "chargerId", iso_text(F.col("sessionStart"))))

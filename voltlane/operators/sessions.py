@@ -4,17 +4,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltlane import schemas as S
+from voltlane.functions.calls import session_id
 from voltlane.operators import blocks as B
+from voltlane.operators.epochs import with_epoch
 
-SESSION_KEY = ["chargerId", "transactionId", "sessionId"]
+# What makes a session; its id follows from these.
+GROUP = ["chargerId", "transactionId"]
 
 
 def seconds_between(start, end):
     return (F.unix_timestamp(end) - F.unix_timestamp(start)).cast("int")
 
 
+def stable_round(value, digits):
+    """Rounded half up. The first step takes off what the order of a float sum leaves behind, so that two runs
+    do not round a tie differently."""
+    return F.round(F.round(value, 9), digits)
+
+
 def energy(avg_power, seconds, digits):
-    return F.round(avg_power * (seconds / F.lit(3600)), digits)
+    return stable_round(avg_power * (seconds / F.lit(3600)), digits)
 
 
 def session_aggregates(stop_actions: list[str] = S.STOP_ACTIONS, soc_by_time: bool = False) -> list:
@@ -48,13 +57,13 @@ def session_aggregates(stop_actions: list[str] = S.STOP_ACTIONS, soc_by_time: bo
 
 def session_aggregate(messages: DataFrame, epoch: bool = False, **options) -> DataFrame:
     """One row per session. ``epoch`` starts a new session after each stop of a reused transactionId."""
-    keys = SESSION_KEY
+    keys = GROUP
     if epoch:
-        from voltlane.operators.tracker import with_epoch
-
-        messages = with_epoch(messages, ["chargerId", "transactionId"], F.col("isStop"))
-        messages = messages.withColumn("sessionId", F.concat_ws("_", "sessionId", "epoch"))
-    return messages.groupBy(*keys).agg(*session_aggregates(**options))
+        used = ["action", "eventTime", "power", "soc", "voltage", "meterStart", "meterStop", "idTag", "connectorId"]
+        messages = messages.select(*GROUP, "offset", "isStop", "reason", *used)
+        messages, keys = with_epoch(messages, GROUP, F.col("isStop")), [*GROUP, "epoch"]
+    grouped = messages.groupBy(*keys).agg(*session_aggregates(**options))
+    return grouped.withColumn("sessionId", F.concat_ws("_", *keys)).drop("epoch")
 
 
 def session_metrics(aggregated: DataFrame, extra: list[str] = ()) -> DataFrame:
@@ -75,7 +84,7 @@ def completed_sessions(messages: DataFrame, **options) -> DataFrame:
 def session_status(messages: DataFrame) -> DataFrame:
     """Every session classified: no status without readings, active with readings, ended once a stop is there."""
     is_meter, is_stop = F.col("action") == S.METER, F.col("isStop")
-    grouped = messages.groupBy(*SESSION_KEY).agg(
+    grouped = messages.groupBy(*GROUP).agg(
         F.count(F.when(is_meter, 1)).alias("readings"),
         F.coalesce(F.min(F.when(is_meter, F.col("eventTime"))), F.min("eventTime")).alias("startTime"),
         F.max(F.when(is_stop, F.col("eventTime"))).alias("endTime"),
@@ -88,7 +97,7 @@ def session_status(messages: DataFrame) -> DataFrame:
     grouped = grouped.withColumn("status", status).withColumn("lastSeen", F.coalesce("endTime", "latest"))
     grouped = grouped.withColumn("duration", seconds_between("startTime", "lastSeen"))
     return grouped.select(
-        "sessionId",
+        session_id(F.col("chargerId"), F.col("transactionId")).alias("sessionId"),
         F.col("chargerId").alias("stationId"),
         "status",
         F.when(F.col("status") == "ended", F.col("reason")).alias("terminationReason"),
@@ -115,5 +124,5 @@ def trapezoid_energy(messages: DataFrame, blocks: int | None = None) -> DataFram
     micros = F.unix_micros("eventTime") - F.unix_micros("before.eventTime")
     slice_kwh = (F.col("power") + F.col("before.power")) / 2 * micros / F.lit(3.6e9)
     return rows.groupBy(*key).agg(
-        F.round(F.coalesce(F.sum(slice_kwh), F.lit(0.0)), 3).alias("energy"), F.count("*").alias("readings")
+        stable_round(F.coalesce(F.sum(slice_kwh), F.lit(0.0)), 3).alias("energy"), F.count("*").alias("readings")
     )

@@ -1,22 +1,13 @@
 """Sessions cut at every stop: the bookkeeping of the older consumer as a grouped aggregation."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltlane import schemas as S
 from voltlane.functions import calls as C
 from voltlane.operators import blocks as B
-
-
-def with_epoch(
-    rows: DataFrame, keys: list[str], is_stop: Column, ord: str = "offset", rows_per_block: int = B.ROWS_PER_BLOCK
-) -> DataFrame:
-    """Adds the number of earlier stops under the same key, in arrival order."""
-    rows = B.arrival_blocks(rows.withColumn("stopFlag", is_stop.cast("long")), ord, rows_per_block)
-    rows = B.with_carry(rows, keys, {"stopsBefore": (F.sum("stopFlag"), "sum")})
-    earlier = B.in_block(keys, [ord]).rowsBetween(B.Window.unboundedPreceding, -1)
-    epoch = F.coalesce(F.sum("stopFlag").over(earlier), F.lit(0)) + F.coalesce("stopsBefore", F.lit(0))
-    return rows.withColumn("epoch", epoch).drop("block", "stopFlag", "stopsBefore")
+from voltlane.operators.epochs import with_epoch
+from voltlane.operators.sessions import energy
 
 
 def _tracked(payloads: DataFrame) -> DataFrame:
@@ -81,8 +72,6 @@ def _session_columns(grouped: DataFrame) -> DataFrame:
         "startTime",
         "endTime",
         F.when(known, seconds.cast("int")).alias("duration"),
-        F.when(known, F.round(F.col("powerSum") / F.col("powerCount") * (seconds / 3600), 3)).alias(
-            "totalEnergyConsumed"
-        ),
+        F.when(known, energy(F.col("powerSum") / F.col("powerCount"), seconds, 3)).alias("totalEnergyConsumed"),
         "eventCount",
     )

@@ -65,7 +65,7 @@ done AS (
 ),
 history AS (
   SELECT sessionId, chargerId AS stationId, transactionId, 'completed' AS status, startTime, endTime, duration,
-    endTime AS lastSeen, terminationReason, round(rawPower * (duration / 3600.0), 3) AS totalEnergyConsumed,
+    endTime AS lastSeen, terminationReason, CAST(round(CAST(rawPower * (duration / 3600.0) AS DECIMAL(30, 9)), 3) AS DOUBLE) AS totalEnergyConsumed,
     rawPower AS avgPower, maxPower, idTag, connectorId, meterStart, meterStop, socStart, socEnd, voltageAvg, eventCount
   FROM done
 )"""
@@ -151,7 +151,7 @@ tracked_rows AS (
     CASE WHEN powerCount > 0 THEN CAST(trunc((epoch_us(endTime) - epoch_us(startTime)) / 1e6) AS INTEGER) END
       AS duration,
     CASE WHEN powerCount > 0 THEN
-      round(powerSum / powerCount * ((epoch_us(endTime) - epoch_us(startTime)) / 1e6 / 3600), 3) END
+      CAST(round(CAST(powerSum / powerCount * ((epoch_us(endTime) - epoch_us(startTime)) / 1e6 / 3600) AS DECIMAL(30, 9)), 3) AS DOUBLE) END
       AS totalEnergyConsumed,
     eventCount
   FROM tracked
@@ -161,8 +161,8 @@ tracked_rows AS (
 _STATE = """sessionId, chargerId AS stationId, transactionId,
   CASE WHEN runningCount > 0 THEN 'active' ELSE 'pending' END AS status, startTime, lastSeen,
   CAST(floor(epoch(lastSeen)) - floor(epoch(startTime)) AS INTEGER) AS duration,
-  CASE WHEN powerCount > 0 THEN round(powerSum / powerCount *
-    ((floor(epoch(lastSeen)) - floor(epoch(startTime))) / 3600), 4) ELSE 0.0 END AS energyConsumedSoFar,
+  CASE WHEN powerCount > 0 THEN CAST(round(CAST(powerSum / powerCount *
+    ((floor(epoch(lastSeen)) - floor(epoch(startTime))) / 3600) AS DECIMAL(30, 9)), 4) AS DOUBLE) ELSE 0.0 END AS energyConsumedSoFar,
   runningCount"""
 
 _REPLAY = (
@@ -262,7 +262,8 @@ SELECT event_id AS "offset", uniqueId, action, 'it''s ' || user_id AS idTag,
     "active_and_stop_messages": f"""WITH {_T}
 SELECT CASE WHEN isStop THEN 'stop' ELSE 'active' END AS branch, sessionId, "offset" FROM s""",
     "meter_samples": f"""WITH {_SAMPLES}
-SELECT "offset", transactionId, entry, "position", sampleTime, measurand, unit, value FROM samples""",
+SELECT "offset", transactionId, entry, "position", sampleTime, measurand, unit, value,
+  'Sample.Periodic' AS context, 'Raw' AS format, 'Outlet' AS location FROM samples""",
     "sample_pivot": f"""WITH {_SAMPLES}
 SELECT "offset", transactionId,
   CASE WHEN "offset" % 11 = 0 THEN NULL ELSE max(CASE WHEN entry = 0 AND measurand = 'Power.Active.Import' THEN value
@@ -319,11 +320,11 @@ c AS (SELECT *, CASE WHEN readings > 0 THEN CASE WHEN endTime IS NOT NULL THEN '
   coalesce(endTime, latest) AS lastSeen FROM g),
 d AS (SELECT *, CAST(floor(epoch(lastSeen)) - floor(epoch(startTime)) AS INTEGER) AS duration FROM c)
 SELECT sessionId, stationId, status, CASE WHEN status = 'ended' THEN reason END AS terminationReason, startTime,
-  endTime, lastSeen, duration, round(avgPower * (duration / 3600.0), 3) AS totalEnergyConsumed, eventCount FROM d""",
+  endTime, lastSeen, duration, CAST(round(CAST(avgPower * (duration / 3600.0) AS DECIMAL(30, 9)), 3) AS DOUBLE) AS totalEnergyConsumed, eventCount FROM d""",
     "trapezoid_energy": f"""WITH {_T}, p AS (
   SELECT sessionId, power, epoch_us(eventTime) AS t, lag(power) OVER w AS p0, lag(epoch_us(eventTime)) OVER w AS t0
   FROM s WHERE power IS NOT NULL WINDOW w AS (PARTITION BY sessionId ORDER BY eventTime, "offset"))
-SELECT sessionId, round(coalesce(sum((power + p0) / 2 * (t - t0) / 3.6e9), 0.0), 3) AS energy, count(*) AS readings
+SELECT sessionId, CAST(round(CAST(coalesce(sum((power + p0) / 2 * (t - t0) / 3.6e9), 0.0) AS DECIMAL(30, 9)), 3) AS DOUBLE) AS energy, count(*) AS readings
 FROM p GROUP BY sessionId""",
     "active_overview": f"""WITH {_LIVE}
 SELECT {_STATE} FROM replay JOIN compacted c ON c.key = replay.sessionId AND c."offset" = replay."offset"

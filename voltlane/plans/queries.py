@@ -4,9 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltlane import schemas as S
-from voltlane.operators import filters, lines, pairing, quality, running, sessions, tables, topics, tracker
+from voltlane.operators import epochs, filters, lines, pairing, quality, running, sessions, tables, topics, tracker
 from voltlane.plans import jobs, views
-from voltlane.scratch import scratch_folder
+from voltlane.scratch import scratch_folder, staged
 from voltlane.sources import events, history, logs, messages
 from voltlane.streaming import job
 from voltlane.streaming import pairing as live_pairing
@@ -54,14 +54,19 @@ def _typed(spark, sf):
     return jobs.typed_sessions(_records(spark, sf))
 
 
+def _typed_table(spark, sf):
+    """Typed messages written once, for what reads them more than once."""
+    return staged(_typed(spark, sf), "typed")
+
+
 def _history(spark, sf):
     return sessions.completed_sessions(_typed(spark, sf))
 
 
 def _live_records(spark, sf):
     """Both live topics as one log: normalised messages, state after each message, a tombstone at each stop."""
-    typed = _typed(spark, sf)
-    live = topics.to_active_state(running.running_state_replay(typed))
+    typed = _typed_table(spark, sf)
+    live = topics.to_active_state(running.running_state_replay(typed, stage=False))
     stops = typed.filter("isStop").select(
         F.explode(F.array(F.lit(S.ACTIVE_TOPIC), F.lit(S.ACTIVE_RAW_TOPIC))).alias("topic"),
         F.col("sessionId").alias("key"),
@@ -71,6 +76,10 @@ def _live_records(spark, sf):
     return topics.to_active_raw(typed).unionByName(live).unionByName(stops)
 
 
+def _history_table(spark, sf):
+    return staged(_history(spark, sf), "history")
+
+
 # Log lines and pairing
 
 
@@ -180,7 +189,7 @@ def session_messages(spark, sf):
 
 
 def active_and_stop_messages(spark, sf):
-    typed = _typed(spark, sf)
+    typed = _typed_table(spark, sf)
     part = lambda df, name: df.select(F.lit(name).alias("branch"), "sessionId", "offset")
     return part(filters.active_messages(typed), "active").unionByName(part(filters.stop_messages(typed), "stop"))
 
@@ -226,7 +235,7 @@ def completed_by_epoch(spark, sf):
 
 
 def session_epochs(spark, sf):
-    rows = tracker.with_epoch(
+    rows = epochs.with_epoch(
         _typed(spark, sf), ["chargerId", "transactionId"], F.col("isStop"), rows_per_block=1000
     )
     return rows.select("offset", "sessionId", "epoch")
@@ -283,7 +292,7 @@ def compacted_view(spark, sf):
 
 
 def raw_after_tombstone(spark, sf):
-    rows = topics.after_last_tombstone(_live_records(spark, sf), rows_per_block=1000)
+    rows = topics.after_last_tombstone(_live_records(spark, sf), rows_per_block=1000, stage=True)
     return rows.select("topic", "key", "offset")
 
 
@@ -353,7 +362,7 @@ def newest_sessions(spark, sf):
 
 
 def active_history_bridge(spark, sf):
-    typed = _typed(spark, sf)
+    typed = _typed_table(spark, sf)
     return views.bridge(running.running_state(typed), sessions.completed_sessions(typed))
 
 
@@ -368,12 +377,12 @@ def _corrections(done):
 
 
 def history_upsert(spark, sf):
-    done = _history(spark, sf)
+    done = _history_table(spark, sf)
     return tables.upsert(done, _corrections(done)).select("sessionId", "terminationReason", "eventCount")
 
 
 def history_upsert_skip(spark, sf):
-    done = _history(spark, sf)
+    done = _history_table(spark, sf)
     return tables.upsert(done, _corrections(done), on_conflict="skip").select("sessionId", "terminationReason")
 
 
@@ -384,7 +393,7 @@ def history_update(spark, sf):
 
 
 def history_delete(spark, sf):
-    done = _history(spark, sf)
+    done = _history_table(spark, sf)
     kept = tables.delete_keys(done, _corrections(done), "sessionId")
     return tables.delete_rows(kept, F.col("terminationReason") == "SoftReset").select("sessionId", "terminationReason")
 
@@ -396,7 +405,7 @@ def history_defaults(spark, sf):
 
 def history_written(spark, sf):
     """Two batches written as table versions, the first one twice, then read back and compacted."""
-    done = _history(spark, sf)
+    done = _history_table(spark, sf)
     path, daily = scratch_folder(spark, "history"), scratch_folder(spark, "daily")
     tables.write_batch(done, path, 0)
     tables.write_batch(done, path, 0)
@@ -442,7 +451,7 @@ def dq_duration(spark, sf):
 
 
 def dq_exclusive(spark, sf):
-    typed = _typed(spark, sf)
+    typed = _typed_table(spark, sf)
     return quality.active_and_completed(running.running_state(typed), sessions.completed_sessions(typed))
 
 
@@ -491,8 +500,7 @@ def stream_lifecycle(spark, sf):
         arrived = records.filter(F.floor((F.dayofmonth("timestamp") - 1) / 8) == part)
         arrived.write.mode("append").parquet(folder)
         stream = _typed_stream(spark, folder)
-        started = job.start_lifecycle(stream, out, out + "/checkpoint", closed_ms=86_400_000, availableNow=True)
-        started.awaitTermination()
+        job.start_lifecycle(stream, out, out + "/checkpoint", availableNow=True).awaitTermination()
     done = history.read_history(spark, out + "/history").select("sessionId", "startTime", "endTime", "eventCount")
     late = spark.read.parquet(out + "/late").groupBy("sessionId").agg(F.count("*").alias("late"))
     return done.join(late, "sessionId", "left").withColumn("late", F.coalesce("late", F.lit(0)))

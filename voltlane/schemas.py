@@ -43,17 +43,17 @@ UNKNOWN_TYPE = "unknown message type: "
 # The transactionId of the envelope is only set when a response supplied it.
 ENVELOPE = "chargerId STRING, uniqueId STRING, message STRING, transactionId STRING"
 
-METER_VALUE = (
-    "ARRAY<STRUCT<timestamp: STRING, sampledValue: ARRAY<STRUCT<"
-    "value: STRING, context: STRING, format: STRING, measurand: STRING, location: STRING, unit: STRING>>>>"
-)
+SAMPLE = "value: STRING, measurand: STRING, unit: STRING"
+FULL_SAMPLE = "value: STRING, context: STRING, format: STRING, measurand: STRING, location: STRING, unit: STRING"
 
 # Scalars are read as text and cast afterwards, so a badly typed field is null and spoils no other field.
-PAYLOAD = (
+_PAYLOAD = (
     "transactionId STRING, timestamp STRING, meterStart STRING, meterStop STRING, idTag STRING, "
     "connectorId STRING, reason STRING, status STRING, errorCode STRING, vendorErrorCode STRING, "
-    f"currentTime STRING, meterValue {METER_VALUE}"
+    "currentTime STRING, meterValue ARRAY<STRUCT<timestamp: STRING, sampledValue: ARRAY<STRUCT<{}>>>>"
 )
+PAYLOAD = _PAYLOAD.format(SAMPLE)
+FULL_PAYLOAD = _PAYLOAD.format(FULL_SAMPLE)
 
 MESSAGE_LOG = "topic STRING, key STRING, value STRING, offset BIGINT, timestamp TIMESTAMP"
 

@@ -38,7 +38,9 @@ def decode_envelope(records: DataFrame) -> DataFrame:
     )
 
 
-def decode_payloads(records: DataFrame, python_literals: bool = False, session_only: bool = False) -> DataFrame:
+def decode_payloads(
+    records: DataFrame, python_literals: bool = False, session_only: bool = False, contract: str = S.PAYLOAD
+) -> DataFrame:
     """Records to one row per decodable call: header columns, payload fields as text, meterValue as an array.
 
     Calls of fewer than three elements are dropped. ``python_literals`` also reads calls stored as Python
@@ -58,7 +60,7 @@ def decode_payloads(records: DataFrame, python_literals: bool = False, session_o
         calls = calls.filter(F.col("action").isin(S.SESSION_ACTIONS))
     body = F.coalesce(F.get("call", F.lit(3)), F.lit("{}"))
     calls = calls.withColumn("payload", body).drop("call")
-    decoded = calls.select("*", F.inline(F.array(C.payload_struct(F.col("payload")))))
+    decoded = calls.select("*", F.inline(F.array(C.payload_struct(F.col("payload"), contract))))
     return decoded.withColumn("transactionId", F.coalesce("transactionId", "suppliedTransactionId")).drop(
         "suppliedTransactionId"
     )
@@ -76,9 +78,9 @@ def decode_messages(
     calls = decode_payloads(records, python_literals, session_only)
     calls = calls.withColumn("samples", C.samples_of(F.col("meterValue")))
     stamp = C.timestamp_text(F.col("action"), F.col("timestamp"), F.col("meterValue"))
+    event = C.event_time(F.col("timestamp_str"), strict_millis)
     return (
-        calls.withColumn("timestamp_str", stamp)
-        .withColumn("eventTime", C.event_time(F.col("timestamp_str"), strict_millis))
+        C.evaluate_once(C.evaluate_once(calls, timestamp_str=stamp), eventTime=event)
         .select(
             "topic",
             "offset",
@@ -120,7 +122,8 @@ def decode_status(records: DataFrame) -> DataFrame:
 
 def decode_samples(records: DataFrame) -> DataFrame:
     """One row per sampled value of every MeterValues call whose entry carries a timestamp."""
-    calls = decode_payloads(records, session_only=True).filter(F.col("action") == S.METER)
+    calls = decode_payloads(records, session_only=True, contract=S.FULL_PAYLOAD)
+    calls = calls.filter(F.col("action") == S.METER)
     entries = calls.select(
         "offset", "uniqueId", "chargerId", "transactionId", F.posexplode(C.timed_values(F.col("meterValue")))
     )
@@ -143,6 +146,9 @@ def decode_samples(records: DataFrame) -> DataFrame:
         "sampleTime",
         "sample.measurand",
         "sample.unit",
+        "sample.context",
+        "sample.format",
+        "sample.location",
         C.number_of(F.col("sample")).alias("value"),
     )
 

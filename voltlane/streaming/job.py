@@ -4,8 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltlane import schemas as S
+from voltlane.functions.calls import session_id
 from voltlane.operators import running, sessions, tables, topics
-from voltlane.operators.sessions import SESSION_KEY
+from voltlane.operators.sessions import GROUP
 from voltlane.streaming import lifecycle
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -25,7 +26,8 @@ def session_stream(messages: DataFrame, watermark: str = "1 hour") -> DataFrame:
         F.max("isStop").alias("stopped"),
         F.count(F.when(F.col("action") == S.METER, 1)).alias("runningCount"),
     ]
-    return messages.withWatermark("eventTime", watermark).groupBy(*SESSION_KEY).agg(*aggregates)
+    grouped = messages.withWatermark("eventTime", watermark).groupBy(*GROUP).agg(*aggregates)
+    return grouped.withColumn("sessionId", session_id(F.col("chargerId"), F.col("transactionId")))
 
 
 def live_state(aggregated: DataFrame) -> DataFrame:
@@ -54,7 +56,14 @@ def start_sessions(messages: DataFrame, out: str, checkpoint: str, **trigger):
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def start_lifecycle(messages: DataFrame, out: str, checkpoint: str, closed_ms: int, idle_ms: int = 0, **trigger):
+def start_lifecycle(
+    messages: DataFrame,
+    out: str,
+    checkpoint: str,
+    closed_ms: int | None = None,
+    idle_ms: int | None = None,
+    **trigger,
+):
     """Live log, live state, history and tombstones from one stream whose state is dropped after the stop.
 
     One query writes all four, the tombstones of a batch in the same step as its states, so no live record can

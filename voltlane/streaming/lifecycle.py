@@ -2,7 +2,6 @@
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from voltlane import schemas as S
@@ -80,7 +79,7 @@ class SessionLifecycle(StatefulProcessor):
     A micro-batch counts as one set: messages that arrive together with the stop still belong to the session.
     Rows are folded chunk by chunk, so a crowded session is never held whole."""
 
-    def __init__(self, closed_ms: int, idle_ms: int):
+    def __init__(self, closed_ms: int | None, idle_ms: int | None):
         self.closed_ms, self.idle_ms = closed_ms, idle_ms
 
     def init(self, handle) -> None:
@@ -128,10 +127,9 @@ class SessionLifecycle(StatefulProcessor):
         state["closed"] = state["endTime"] is not None
         self.state.update(tuple(state[c] for c in _FIELDS))
         yield self._session("closed" if state["closed"] else "state", key, state)
-        if state["closed"]:
-            self._set_timer(timerValues.getCurrentProcessingTimeInMs() + self.closed_ms)
-        elif self.idle_ms:
-            self._set_timer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        wait = self.closed_ms if state["closed"] else self.idle_ms
+        if wait is not None:
+            self._set_timer(timerValues.getCurrentProcessingTimeInMs() + wait)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         if not self.state.exists():
@@ -145,14 +143,17 @@ class SessionLifecycle(StatefulProcessor):
         pass
 
 
-def session_lifecycle(messages: DataFrame, closed_ms: int, idle_ms: int = 0) -> DataFrame:
-    """Stateful stream of tagged rows. Timers run on processing time: an event-time watermark would drop the
-    messages of a charger that reports late. ``closed_ms`` is how long a closed session turns late messages away;
-    ``idle_ms`` drops sessions that never stop (0 keeps them)."""
-    rows = messages.select("sessionId", *[F.col(c) for c in _MESSAGE_FIELDS])
+def session_lifecycle(messages: DataFrame, closed_ms: int | None = None, idle_ms: int | None = None) -> DataFrame:
+    """Stateful stream of tagged rows.
+
+    ``closed_ms`` is how long a closed session turns late messages away before its state is dropped; ``idle_ms``
+    drops sessions that never stop. Timers run on processing time, as an event-time watermark would drop the
+    messages of a charger that reports late. With a timer set the query has something to do for ever, so a bounded
+    run (``availableNow``) sets none and keeps the state."""
+    rows = messages.select("sessionId", *_MESSAGE_FIELDS)
     return rows.groupBy("sessionId").transformWithStateInPandas(
         statefulProcessor=SessionLifecycle(closed_ms, idle_ms),
         outputStructType=OUTPUT,
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="None" if closed_ms is None and idle_ms is None else "ProcessingTime",
     )
