@@ -161,7 +161,7 @@ def test_no_window_runs_over_a_whole_session(crowded):
     plan = running.running_state_replay(crowded[1])._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     # Rows are windowed by (session, block); the only window by session alone reads block summaries.
-    assert len(windows) == 2 and sum("Before" in w and "_we" not in w for w in windows) <= 1
+    assert len(windows) == 3 and sum("block#" in w.split("], [")[1] for w in windows) == 1
 
 
 # The older consumer's sessions.

@@ -32,7 +32,8 @@ def range_blocks(df: DataFrame, order: list[str], blocks: int | None = None) ->
 def carry(
     df: DataFrame, keys: list[str], totals: dict[str, tuple[Column, str]], whole_group: bool = False
 ) -> DataFrame:
-    """Per (key, block): each total merged over the earlier blocks of the key, or over all of them.
+    """Per (key, block): each total merged over the earlier blocks of the key, or over all of them. Without earlier
+    blocks there is no row, so only the keys that span blocks cost anything.
 
     ``totals`` maps a name to the aggregate that summarises a block and the way summaries merge."""
     summary = df.groupBy(*keys, "block").agg(*[agg.alias(name) for name, (agg, _) in totals.items()])
@@ -41,13 +42,20 @@ def carry(
         over = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     else:
         over = over.rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(
-        *keys, "block", *[MERGE[merge](F.col(name)).over(over).alias(name) for name, (_, merge) in totals.items()]
-    )
+    merged = [MERGE[merge](F.col(name)).over(over).alias(name) for name, (_, merge) in totals.items()]
+    if whole_group:
+        return summary.select(*keys, "block", *merged)
+    first = F.min("block").over(Window.partitionBy(*keys))
+    return summary.select(*keys, "block", *merged, first.alias("first")).filter("block > first").drop("first")
 
 
-def with_carry(df: DataFrame, keys: list[str], totals, whole_group: bool = False) -> DataFrame:
-    return df.join(carry(df, keys, totals, whole_group), [*keys, "block"])
+def with_carry(
+    windowed: DataFrame, df: DataFrame, keys: list[str], totals: dict[str, tuple[Column, str]], whole_group=False
+) -> DataFrame:
+    """Rows with the totals of their key. ``windowed`` is ``df``, or ``df`` after in-block windows: these leave the
+    rows partitioned and sorted as the join wants them."""
+    how = "inner" if whole_group else "left"
+    return windowed.join(carry(df, keys, totals, whole_group), [*keys, "block"], how)
 
 
 def in_block(keys: list[str], order: list[str]):

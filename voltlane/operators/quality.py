@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltlane.operators.tables import keys_in_both
+
 # Columns that may not be null.
 REQUIRED = ["sessionId", "stationId", "transactionId", "startTime", "endTime", "duration"]
 
@@ -28,7 +30,7 @@ def duration_mismatch(history: DataFrame, tolerance: int = 1) -> DataFrame:
 
 def active_and_completed(active: DataFrame, history: DataFrame) -> DataFrame:
     """Sessions found in both; there should be none."""
-    return active.join(history.select("sessionId"), "sessionId", "left_semi").select("sessionId")
+    return keys_in_both(history, active)
 
 
 def not_completed(history: DataFrame) -> DataFrame:

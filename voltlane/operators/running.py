@@ -62,12 +62,12 @@ def running_state_replay(
         "runningCount": ("reading", "sum"),
     }
     totals = {f"{name}Before": (B.MERGE[how](F.col(c)), how) for name, (c, how) in parts.items()}
-    rows = B.with_carry(rows, GROUP, totals)
     so_far = B.in_block(GROUP, by).rowsBetween(B.Window.unboundedPreceding, B.Window.currentRow)
+    windowed = rows.withColumns({n: B.MERGE[how](F.col(c)).over(so_far) for n, (c, how) in parts.items()})
+    joined = B.with_carry(windowed, rows, GROUP, totals)
     join = {"min": F.least, "max": F.greatest, "sum": lambda a, b: F.coalesce(a + b, a, b)}
-    for name, (c, how) in parts.items():
-        rows = rows.withColumn(name, join[how](B.MERGE[how](F.col(c)).over(so_far), F.col(f"{name}Before")))
-    return rows.select("offset", *state_columns())
+    state = joined.withColumns({n: join[how](F.col(n), F.col(f"{n}Before")) for n, (_, how) in parts.items()})
+    return state.select("offset", *state_columns())
 
 
 def with_first_event_time(
@@ -76,5 +76,5 @@ def with_first_event_time(
     """Each message with the first event time of its session and the id built from it."""
     rows = B.arrival_blocks(messages, "offset", rows_per_block, stage)
     first = {"sessionStart": (F.min("eventTime"), "min")}
-    rows = B.with_carry(rows, GROUP, first, whole_group=True).drop("block")
+    rows = B.with_carry(rows, rows, GROUP, first, whole_group=True).drop("block")
     return rows.withColumn("startSessionId", F.concat_ws("_", "chargerId", iso_text(F.col("sessionStart"))))

@@ -118,9 +118,8 @@ def trapezoid_energy(messages: DataFrame, blocks: int | None = None) -> DataFram
     readings = B.range_blocks(readings, order, blocks)
     reading = F.struct("eventTime", "power")
     last = {"earlier": (F.max_by(reading, F.struct("eventTime", "offset")), "last")}
-    rows = B.with_carry(readings, key, last)
-    before = F.coalesce(F.lag(reading).over(B.in_block(key, ["eventTime", "offset"])), F.col("earlier"))
-    rows = rows.withColumn("before", before)
+    rows = readings.withColumn("before", F.lag(reading).over(B.in_block(key, ["eventTime", "offset"])))
+    rows = B.with_carry(rows, readings, key, last).withColumn("before", F.coalesce("before", "earlier"))
     micros = F.unix_micros("eventTime") - F.unix_micros("before.eventTime")
     slice_kwh = (F.col("power") + F.col("before.power")) / 2 * micros / F.lit(3.6e9)
     return rows.groupBy(*key).agg(

@@ -41,10 +41,16 @@ def delete_keys(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     return df.join(gone.select(key), key, "left_anti")
 
 
+def keys_in_both(big: DataFrame, small: DataFrame, key: str = "sessionId") -> DataFrame:
+    """Keys of ``small`` that ``big`` holds. ``small`` is the build side, so Spark can filter the big table in place
+    where the small one is small enough to send around."""
+    return big.select(key).join(small.select(key), key, "left_semi")
+
+
 def upsert(target: DataFrame, updates: DataFrame, key: str = "sessionId", on_conflict: str = "replace") -> DataFrame:
     """One row per key: an update replaces the target's row, or is skipped where the key exists."""
     if on_conflict == "skip":
-        return target.unionByName(updates.join(target.select(key), key, "left_anti"))
+        return target.unionByName(updates.join(keys_in_both(target, updates, key), key, "left_anti"))
     return target.join(updates.select(key), key, "left_anti").unionByName(updates)
 
 
@@ -61,7 +67,7 @@ def write_table(
     already holds are left out row by row; the rest of the batch is written."""
     new = df.dropDuplicates([key])
     if existing is not None:
-        new = new.join(existing.select(key), key, "left_anti")
+        new = new.join(keys_in_both(existing, new, key), key, "left_anti")
     new.write.format(format).options(**options).mode("append").save()
 
 

@@ -339,7 +339,8 @@ CROSS JOIN (VALUES ('ocpp.active'), ('ocpp.active.raw')) AS t(topic) WHERE isSto
     "retention": f"""WITH {_T}
 SELECT "offset", sessionId, eventTime FROM s WHERE eventTime >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 3 DAY""",
     "live_log_of_charger": f"""WITH {_T}
-SELECT sessionId AS key, "offset" FROM s WHERE NOT isStop AND chargerId = 'charger6'""",
+SELECT sessionId AS key, "offset" FROM s WHERE NOT isStop AND chargerId = 'charger6'
+  AND eventTime < TIMESTAMP '2024-01-24 00:00:00'""",
     "energy_by_station": f"""WITH {_H}
 SELECT stationId, count(*) AS sessions, round(sum(totalEnergyConsumed), 6) AS totalEnergy FROM history
 WHERE startTime >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 14 DAY GROUP BY stationId""",

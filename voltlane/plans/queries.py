@@ -306,7 +306,7 @@ def retention(spark, sf):
 
 def live_log_of_charger(spark, sf):
     raw = topics.to_active_raw(_typed(spark, sf))
-    return views.session_messages(raw, "charger6_").select("key", "offset")
+    return views.session_messages(raw, "charger6_", end=_as_of() - F.expr("INTERVAL 7 DAYS")).select("key", "offset")
 
 
 # Views

@@ -3,12 +3,20 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltlane.functions.calls import event_time
 from voltlane.operators import filters, topics
+from voltlane.operators.tables import keys_in_both
+
+
+def recent(history: DataFrame, as_of: Column, days: int) -> DataFrame:
+    """Sessions started in the last ``days``. Where the table is partitioned by day, older days are not read."""
+    if "day" in history.columns:
+        history = history.filter(F.col("day") >= F.to_date(as_of - F.make_dt_interval(F.lit(days))))
+    return history.filter(filters.since("startTime", as_of, days))
 
 
 def energy_by_station(history: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
-    recent = history.filter(filters.since("startTime", as_of, days))
-    return recent.groupBy("stationId").agg(
+    return recent(history, as_of, days).groupBy("stationId").agg(
         F.count("*").alias("sessions"), F.sum("totalEnergyConsumed").alias("totalEnergy")
     )
 
@@ -20,7 +28,7 @@ def termination_stats(history: DataFrame) -> DataFrame:
 
 
 def station_sessions(history: DataFrame, station: str, as_of: Column, days: int = 7) -> DataFrame:
-    return history.filter((F.col("stationId") == station) & filters.since("startTime", as_of, days))
+    return recent(history, as_of, days).filter(F.col("stationId") == station)
 
 
 def active_overview(records: DataFrame) -> DataFrame:
@@ -28,9 +36,15 @@ def active_overview(records: DataFrame) -> DataFrame:
     return topics.active_state_from(records)
 
 
-def session_messages(raw_records: DataFrame, prefix: str) -> DataFrame:
-    """Live log of a charger or session, by the start of its key."""
-    return filters.key_starts_with(raw_records.filter(F.col("value").isNotNull()), prefix)
+def session_messages(
+    raw_records: DataFrame, prefix: str, start: Column | None = None, end: Column | None = None
+) -> DataFrame:
+    """Live log of a charger or session, by the start of its key and, if given, a time range."""
+    found = filters.key_starts_with(raw_records.filter(F.col("value").isNotNull()), prefix)
+    at = event_time(F.get_json_object("value", "$.timestamp"))
+    if start is not None:
+        found = found.filter(at >= start)
+    return found if end is None else found.filter(at < end)
 
 
 def sessions_by(history: DataFrame, grain: str = "day", dims: tuple[str, ...] = ("stationId",)) -> DataFrame:
@@ -106,7 +120,8 @@ def bridge(active: DataFrame, history: DataFrame) -> DataFrame:
         "duration",
         F.col("energyConsumedSoFar").alias("totalEnergyConsumed"),
         F.col("runningCount").alias("eventCount"),
-    ).join(history.select("sessionId"), "sessionId", "left_anti")
+    )
+    live = live.join(keys_in_both(history, live), "sessionId", "left_anti")
     return history.select(*live.columns).unionByName(live)
 
 

@@ -8,19 +8,29 @@ from voltlane.functions import calls as C
 from voltlane.functions.literals import literal_to_json
 
 
-def read_messages_stream(spark: SparkSession, path: str | None = None, format: str = "kafka", **options) -> DataFrame:
-    """Stream of topic, key, value, offset, timestamp, from the earliest record on."""
+def _arrival(records: DataFrame, partitions: int) -> DataFrame:
+    """Offsets made unique across the partitions of a topic; they still rise within each."""
+    return records.withColumn("offset", F.col("offset") * partitions + F.col("partition"))
+
+
+def read_messages_stream(
+    spark: SparkSession, path: str | None = None, format: str = "kafka", partitions: int = 1, **options
+) -> DataFrame:
+    """Stream of topic, key, value, offset, timestamp, from the earliest record on. ``partitions`` is the number of
+    partitions of a Kafka topic."""
     if format == "kafka":
         defaults = {"subscribe": S.MESSAGES_TOPIC, "startingOffsets": "earliest", "failOnDataLoss": "false"}
-        return spark.readStream.format("kafka").options(**{**defaults, **options}).load()
+        return _arrival(spark.readStream.format("kafka").options(**{**defaults, **options}).load(), partitions)
     return spark.readStream.format(format).schema(S.MESSAGE_LOG).options(**options).load(path)
 
 
-def read_messages_batch(spark: SparkSession, path: str | None = None, format: str = "kafka", **options) -> DataFrame:
+def read_messages_batch(
+    spark: SparkSession, path: str | None = None, format: str = "kafka", partitions: int = 1, **options
+) -> DataFrame:
     """All records of the topic at once, earliest to latest."""
     if format == "kafka":
         defaults = {"subscribe": S.MESSAGES_TOPIC, "startingOffsets": "earliest", "endingOffsets": "latest"}
-        return spark.read.format("kafka").options(**{**defaults, **options}).load()
+        return _arrival(spark.read.format("kafka").options(**{**defaults, **options}).load(), partitions)
     return spark.read.format(format).schema(S.MESSAGE_LOG).options(**options).load(path)
 
 

@@ -1,5 +1,6 @@
 """Session lifecycle with bounded state: fold messages, close at the stop, forget after a while."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor
@@ -24,45 +25,66 @@ OUTPUT = (
 STATE = f"chargerId STRING, transactionId STRING, closed BOOLEAN, {SESSION}"
 
 _FIELDS = S.columns(STATE)
+_SESSION_FIELDS = S.columns(SESSION)
 _MESSAGE_FIELDS = S.columns(MESSAGE)
+_OUTPUT_FIELDS = ["kind", "sessionId", "chargerId", "transactionId", "session", "message"]
 # How the summaries of two sets of messages merge.
 _LEAST = ("startTime", "socStart")
+_WHOLE = ("offset", "meterStart", "meterStop", "connectorId")
 _SUMS = ("eventCount", "runningCount", "powerSum", "powerCount", "voltageSum", "voltageCount")
 
 
-def _plain(value):
-    """None for any missing value, Python scalars otherwise."""
-    if value is None or pd.isna(value):
-        return None
-    if isinstance(value, pd.Timestamp):
-        return value.to_pydatetime()
-    return value.item() if hasattr(value, "item") else value
+def _present(values):
+    """The values that are there, as Python scalars; pandas turns a missing number into NaN."""
+    return [v for v in values if v is not None and v == v]
+
+
+def _known(rows: pd.DataFrame, column: str, where=None) -> np.ndarray:
+    """Numbers of a column, without the missing ones."""
+    values = rows[column].to_numpy(dtype="float64", na_value=np.nan)
+    values = values if where is None else values[where]
+    return values[~np.isnan(values)]
+
+
+def _most(values, kind=float):
+    return kind(values.max()) if len(values) else None
 
 
 def _summary(rows: pd.DataFrame) -> dict:
     """Aggregates of a chunk of one session's messages."""
-    on = lambda action, c: rows.loc[rows["action"] == action, c].dropna().max()
-    power, voltage = rows["power"].dropna(), rows["voltage"].dropna()
-    result = {
-        "startTime": rows["eventTime"].min(),
-        "endTime": rows.loc[rows["isStop"], "eventTime"].max(),
-        "latest": rows["eventTime"].max(),
+    action = rows["action"].to_numpy()
+    times = rows["eventTime"]
+    started, stopped, is_stop = action == S.START, action == S.STOP, rows["isStop"].to_numpy(dtype=bool)
+    power, voltage, soc = _known(rows, "power"), _known(rows, "voltage"), _known(rows, "soc")
+    return {
+        "startTime": times.min().to_pydatetime(),
+        "endTime": times[is_stop].max().to_pydatetime() if is_stop.any() else None,
+        "latest": times.max().to_pydatetime(),
         "eventCount": len(rows),
-        "runningCount": int((rows["action"] == S.METER).sum()),
+        "runningCount": int((action == S.METER).sum()),
         "powerSum": float(power.sum()),
         "powerCount": len(power),
-        "maxPower": power.max(),
-        "socStart": rows["soc"].min(),
-        "socEnd": rows["soc"].max(),
+        "maxPower": _most(power),
+        "socStart": float(soc.min()) if len(soc) else None,
+        "socEnd": _most(soc),
         "voltageSum": float(voltage.sum()),
         "voltageCount": len(voltage),
-        "meterStart": on(S.START, "meterStart"),
-        "meterStop": on(S.STOP, "meterStop"),
-        "connectorId": on(S.START, "connectorId"),
-        "idTag": on(S.START, "idTag"),
-        "terminationReason": on(S.STOP, "reason"),
+        "meterStart": _most(_known(rows, "meterStart", started), int),
+        "meterStop": _most(_known(rows, "meterStop", stopped), int),
+        "connectorId": _most(_known(rows, "connectorId", started), int),
+        "idTag": max(_present(rows["idTag"][started]), default=None),
+        "terminationReason": max(_present(rows["reason"][stopped]), default=None),
     }
-    return {name: _plain(value) for name, value in result.items()}
+
+
+def _as_dicts(rows: pd.DataFrame) -> list[dict]:
+    """Messages as dictionaries with whole numbers kept whole."""
+    columns = []
+    for name in _MESSAGE_FIELDS:
+        values = rows[name].tolist()
+        kind = int if name in _WHOLE else (lambda v: v)
+        columns.append([kind(v) if v is not None and v == v else None for v in values])
+    return [dict(zip(_MESSAGE_FIELDS, values)) for values in zip(*columns)]
 
 
 def _merge(name, a, b):
@@ -87,21 +109,18 @@ class SessionLifecycle(StatefulProcessor):
         self.state = handle.getValueState("session", STATE)
 
     def _session(self, kind, key, state):
-        row = {c: None for c in ("kind", "sessionId", "chargerId", "transactionId", "session", "message")}
-        session = {c: state.get(c) for c in S.columns(SESSION)}
-        row.update(kind=kind, sessionId=key[0], chargerId=state["chargerId"], transactionId=state["transactionId"])
-        row["session"] = session
-        return pd.DataFrame([row])
+        session = {c: state[c] for c in _SESSION_FIELDS}
+        return self._frame([kind], key, [state["chargerId"]], [state["transactionId"]], [session], [None])
+
+    def _messages(self, kind, key, rows):
+        n = len(rows)
+        chargers, transactions = rows["chargerId"].tolist(), rows["transactionId"].tolist()
+        return self._frame([kind] * n, key, chargers, transactions, [None] * n, _as_dicts(rows))
 
     @staticmethod
-    def _messages(kind, key, rows):
-        out = rows[["chargerId", "transactionId"]].copy()
-        out.insert(0, "sessionId", key[0])
-        out.insert(0, "kind", kind)
-        out["session"] = None
-        records = rows[_MESSAGE_FIELDS].astype(object).where(rows[_MESSAGE_FIELDS].notna(), None)
-        out["message"] = records.to_dict("records")
-        return out
+    def _frame(kinds, key, chargers, transactions, states, texts):
+        ids = [key[0]] * len(kinds)
+        return pd.DataFrame(dict(zip(_OUTPUT_FIELDS, (kinds, ids, chargers, transactions, states, texts))))
 
     def _set_timer(self, at):
         for timer in list(self.handle.listTimers()):
@@ -114,7 +133,7 @@ class SessionLifecycle(StatefulProcessor):
             for chunk in rows:
                 yield self._messages("late", key, chunk)
             return
-        state = {c: _plain(v) for c, v in old.items()} if old else {c: None for c in _FIELDS}
+        state = old or {c: None for c in _FIELDS}
         for chunk in rows:
             live = chunk[~chunk["isStop"]]
             if len(live):
@@ -137,7 +156,7 @@ class SessionLifecycle(StatefulProcessor):
         state = dict(zip(_FIELDS, self.state.get()))
         self.state.clear()
         if not state["closed"]:
-            yield self._session("expired", key, {c: _plain(v) for c, v in state.items()})
+            yield self._session("expired", key, state)
 
     def close(self) -> None:
         pass
