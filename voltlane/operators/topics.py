@@ -1,6 +1,6 @@
 """Keyed topics: what is written to them and how a reader sees them. A null value is a tombstone."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlane import schemas as S
@@ -67,17 +67,19 @@ def normalized(messages: DataFrame) -> DataFrame:
     )
 
 
-def to_active_raw(messages: DataFrame) -> DataFrame:
-    """Live message log: key sessionId, JSON value. Nulls of the action's own fields are written out."""
-    rows = normalized(messages)
+def live_value() -> Column:
+    """JSON value of a typed message in the live log. Nulls of the action's own fields are written out."""
+    outer = [F.col("chargerId").alias("stationId"), F.col("timestamp_str").alias("timestamp"), "action"]
+    start = F.struct(*outer, F.struct("transactionId", "meterStart", "idTag", "connectorId").alias("value"))
+    meter = F.struct(*outer, F.struct("power", "soc", "voltage").alias("value"))
     keep_nulls = {"ignoreNullFields": "false"}
-    part = lambda *names: F.struct(*[F.col(f"value.{n}").alias(n) for n in names])
-    outer = ["stationId", "timestamp", "action"]
-    start = F.struct(*outer, part("transactionId", "meterStart", "idTag", "connectorId").alias("value"))
-    meter = F.struct(*outer, part("power", "soc", "voltage").alias("value"))
-    value = F.when(F.col("action") == S.START, F.to_json(start, keep_nulls)).otherwise(F.to_json(meter, keep_nulls))
-    return rows.select(
-        F.lit(S.ACTIVE_RAW_TOPIC).alias("topic"), F.col("sessionId").alias("key"), value.alias("value"), "offset"
+    return F.when(F.col("action") == S.START, F.to_json(start, keep_nulls)).otherwise(F.to_json(meter, keep_nulls))
+
+
+def to_active_raw(messages: DataFrame) -> DataFrame:
+    """Live message log of the non-stop messages: key sessionId, JSON value."""
+    return messages.filter(~F.col("isStop")).select(
+        F.lit(S.ACTIVE_RAW_TOPIC).alias("topic"), F.col("sessionId").alias("key"), live_value().alias("value"), "offset"
     )
 
 

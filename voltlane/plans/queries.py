@@ -502,7 +502,7 @@ def stream_lifecycle(spark, sf):
         stream = _typed_stream(spark, folder)
         job.start_lifecycle(stream, out, out + "/checkpoint", availableNow=True).awaitTermination()
     done = history.read_history(spark, out + "/history").select("sessionId", "startTime", "endTime", "eventCount")
-    late = spark.read.parquet(out + "/late").groupBy("sessionId").agg(F.count("*").alias("late"))
+    late = spark.read.parquet(out + "/late").groupBy(F.col("key").alias("sessionId")).agg(F.count("*").alias("late"))
     return done.join(late, "sessionId", "left").withColumn("late", F.coalesce("late", F.lit(0)))
 
 

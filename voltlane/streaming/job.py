@@ -73,11 +73,14 @@ def start_lifecycle(
         batch = batch.persist()
         try:
             write = lambda df, name: tables.write_batch(df, f"{out}/{name}", batch_id)
-            write(batch.filter("kind = 'raw'").select("sessionId", "message.*"), "raw")
-            write(batch.filter("kind = 'late'").select("sessionId", "message.*"), "late")
+            record = [F.lit(S.ACTIVE_RAW_TOPIC).alias("topic"), F.col("sessionId").alias("key"), "value", "offset"]
+            write(batch.filter("kind = 'raw'").select(*record), "raw")
+            write(batch.filter("kind = 'late'").select(*record), "late")
+            session = F.from_json("value", lifecycle.SESSION).alias("session")
             state = batch.filter("kind in ('state', 'closed', 'expired')").select(
-                "kind", "chargerId", "transactionId", "sessionId", "session.*"
+                "kind", "chargerId", "transactionId", "sessionId", session
             )
+            state = state.select("kind", "chargerId", "transactionId", "sessionId", "session.*")
             going = state.filter("kind = 'state'").withColumn("lastSeen", F.col("latest"))
             live = topics.to_active_state(going.select(*running.state_columns()))
             gone = topics.to_tombstones(state.filter("kind <> 'state'"))

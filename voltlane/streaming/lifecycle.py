@@ -1,11 +1,15 @@
 """Session lifecycle with bounded state: fold messages, close at the stop, forget after a while."""
 
+import json
+from datetime import datetime
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor
 
 from voltlane import schemas as S
+from voltlane.operators.topics import live_value
 
 SESSION = (
     "startTime TIMESTAMP, endTime TIMESTAMP, latest TIMESTAMP, eventCount BIGINT, runningCount BIGINT, "
@@ -13,24 +17,17 @@ SESSION = (
     "voltageCount BIGINT, meterStart BIGINT, meterStop BIGINT, connectorId INT, idTag STRING, "
     "terminationReason STRING, voltageAvg DOUBLE"
 )
-MESSAGE = (
-    "offset BIGINT, chargerId STRING, transactionId STRING, action STRING, timestamp_str STRING, "
-    "eventTime TIMESTAMP, power DOUBLE, soc DOUBLE, voltage DOUBLE, meterStart BIGINT, meterStop BIGINT, "
-    "idTag STRING, connectorId INT, reason STRING, isStop BOOLEAN"
-)
-OUTPUT = (
-    f"kind STRING, sessionId STRING, chargerId STRING, transactionId STRING, "
-    f"session STRUCT<{SESSION}>, message STRUCT<{MESSAGE}>"
-)
+INPUT = ["sessionId", "offset", "chargerId", "transactionId", "action", "eventTime", "power", "soc", "voltage",
+         "meterStart", "meterStop", "idTag", "connectorId", "reason", "isStop"]
+# Messages pass as the text that goes to the live log and sessions as JSON: flat rows of text are what Arrow moves
+# cheaply when a session has only a few messages in a batch.
+OUTPUT = "kind STRING, sessionId STRING, chargerId STRING, transactionId STRING, offset BIGINT, value STRING"
 STATE = f"chargerId STRING, transactionId STRING, closed BOOLEAN, {SESSION}"
 
 _FIELDS = S.columns(STATE)
 _SESSION_FIELDS = S.columns(SESSION)
-_MESSAGE_FIELDS = S.columns(MESSAGE)
-_OUTPUT_FIELDS = ["kind", "sessionId", "chargerId", "transactionId", "session", "message"]
 # How the summaries of two sets of messages merge.
 _LEAST = ("startTime", "socStart")
-_WHOLE = ("offset", "meterStart", "meterStop", "connectorId")
 _SUMS = ("eventCount", "runningCount", "powerSum", "powerCount", "voltageSum", "voltageCount")
 
 
@@ -77,16 +74,6 @@ def _summary(rows: pd.DataFrame) -> dict:
     }
 
 
-def _as_dicts(rows: pd.DataFrame) -> list[dict]:
-    """Messages as dictionaries with whole numbers kept whole."""
-    columns = []
-    for name in _MESSAGE_FIELDS:
-        values = rows[name].tolist()
-        kind = int if name in _WHOLE else (lambda v: v)
-        columns.append([kind(v) if v is not None and v == v else None for v in values])
-    return [dict(zip(_MESSAGE_FIELDS, values)) for values in zip(*columns)]
-
-
 def _merge(name, a, b):
     if a is None or b is None:
         return b if a is None else a
@@ -108,19 +95,19 @@ class SessionLifecycle(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("session", STATE)
 
-    def _session(self, kind, key, state):
-        session = {c: state[c] for c in _SESSION_FIELDS}
-        return self._frame([kind], key, [state["chargerId"]], [state["transactionId"]], [session], [None])
+    @staticmethod
+    def _session(kind, key, state):
+        text = json.dumps({c: state[c] for c in _SESSION_FIELDS}, default=datetime.isoformat)
+        return [(kind, key[0], state["chargerId"], state["transactionId"], None, text)]
 
-    def _messages(self, kind, key, rows):
-        n = len(rows)
-        chargers, transactions = rows["chargerId"].tolist(), rows["transactionId"].tolist()
-        return self._frame([kind] * n, key, chargers, transactions, [None] * n, _as_dicts(rows))
+    @staticmethod
+    def _messages(kind, key, rows):
+        columns = [rows[c].tolist() for c in ("chargerId", "transactionId", "offset", "value")]
+        return [(kind, key[0], *values) for values in zip(*columns)]
 
     @staticmethod
-    def _frame(kinds, key, chargers, transactions, states, texts):
-        ids = [key[0]] * len(kinds)
-        return pd.DataFrame(dict(zip(_OUTPUT_FIELDS, (kinds, ids, chargers, transactions, states, texts))))
+    def _frame(rows):
+        return pd.DataFrame(rows, columns=S.columns(OUTPUT), dtype=object)
 
     def _set_timer(self, at):
         for timer in list(self.handle.listTimers()):
@@ -128,16 +115,16 @@ class SessionLifecycle(StatefulProcessor):
         self.handle.registerTimer(at)
 
     def handleInputRows(self, key, rows, timerValues):
-        old = dict(zip(_FIELDS, self.state.get())) if self.state.exists() else None
-        if old and old["closed"]:
+        state = dict(zip(_FIELDS, self.state.get())) if self.state.exists() else dict.fromkeys(_FIELDS)
+        if state["closed"]:
             for chunk in rows:
-                yield self._messages("late", key, chunk)
+                yield self._frame(self._messages("late", key, chunk))
             return
-        state = old or {c: None for c in _FIELDS}
+        waiting = []
         for chunk in rows:
-            live = chunk[~chunk["isStop"]]
-            if len(live):
-                yield self._messages("raw", key, live)
+            if waiting:
+                yield self._frame(waiting)
+            waiting = self._messages("raw", key, chunk[~chunk["isStop"]])
             state["chargerId"], state["transactionId"] = chunk["chargerId"].iloc[0], chunk["transactionId"].iloc[0]
             for name, value in _summary(chunk).items():
                 state[name] = _merge(name, state[name], value)
@@ -145,7 +132,7 @@ class SessionLifecycle(StatefulProcessor):
             state["voltageAvg"] = state["voltageSum"] / state["voltageCount"]
         state["closed"] = state["endTime"] is not None
         self.state.update(tuple(state[c] for c in _FIELDS))
-        yield self._session("closed" if state["closed"] else "state", key, state)
+        yield self._frame(waiting + self._session("closed" if state["closed"] else "state", key, state))
         wait = self.closed_ms if state["closed"] else self.idle_ms
         if wait is not None:
             self._set_timer(timerValues.getCurrentProcessingTimeInMs() + wait)
@@ -156,7 +143,7 @@ class SessionLifecycle(StatefulProcessor):
         state = dict(zip(_FIELDS, self.state.get()))
         self.state.clear()
         if not state["closed"]:
-            yield self._session("expired", key, state)
+            yield self._frame(self._session("expired", key, state))
 
     def close(self) -> None:
         pass
@@ -169,7 +156,7 @@ def session_lifecycle(messages: DataFrame, closed_ms: int | None = None, idle_ms
     drops sessions that never stop. Timers run on processing time, as an event-time watermark would drop the
     messages of a charger that reports late. With a timer set the query has something to do for ever, so a bounded
     run (``availableNow``) sets none and keeps the state."""
-    rows = messages.select("sessionId", *_MESSAGE_FIELDS)
+    rows = messages.select(*INPUT, live_value().alias("value"))
     return rows.groupBy("sessionId").transformWithStateInPandas(
         statefulProcessor=SessionLifecycle(closed_ms, idle_ms),
         outputStructType=OUTPUT,
