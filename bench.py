@@ -64,7 +64,10 @@ def main():
         out = scratch_folder(spark, "stream")
         source = messages.read_messages_stream(spark, folders["topic"], "parquet")
         job.use_rocksdb(spark)
-        job.start_sessions(jobs.typed_sessions(source), out, out + "/checkpoint", availableNow=True).awaitTermination()
+        started = job.start_sessions(
+            jobs.typed_sessions(source), job.file_sinks(out), out + "/checkpoint", availableNow=True
+        )
+        started.awaitTermination()
 
     timed = {
         "decode_typed": lambda: messages.decode_messages(topic()),

@@ -28,7 +28,7 @@ def typed_stream(spark, folder):
 
 
 def live(spark, out):
-    return topics.active_state_from(spark.read.schema(S.MESSAGE_LOG).parquet(out + "/topics"))
+    return topics.active_state_from(spark.read.schema(S.MESSAGE_LOG).parquet(out + "/live"))
 
 
 PARTS = [
@@ -43,7 +43,7 @@ def test_restarted_stream_equals_batch(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for i, part in enumerate(PARTS):
         feed(spark, source, part, i * 100)
-        job.start_sessions(typed_stream(spark, source), out, out + "/cp", availableNow=True).awaitTermination()
+        job.start_sessions(typed_stream(spark, source), job.file_sinks(out), out + "/cp", availableNow=True).awaitTermination()
     batch = jobs.typed_sessions(messages.read_messages_batch(spark, source, "parquet"))
     want = sessions.completed_sessions(batch)
     got = read_history(spark, out + "/history")
@@ -57,7 +57,7 @@ def test_lifecycle_turns_late_messages_away(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for i, part in enumerate(PARTS):
         feed(spark, source, part, i * 100)
-        job.start_lifecycle(typed_stream(spark, source), out, out + "/cp", availableNow=True).awaitTermination()
+        job.start_lifecycle(typed_stream(spark, source), job.file_sinks(out), out + "/cp", availableNow=True).awaitTermination()
     done = read_history(spark, out + "/history")
     without_late = jobs.typed_sessions(messages.read_messages_batch(spark, source, "parquet")).filter(
         "NOT (chargerId = 'a' AND coalesce(power, 0) = 50)"
@@ -67,14 +67,16 @@ def test_lifecycle_turns_late_messages_away(spark, tmp_path):
     late = spark.read.parquet(out + "/late").select("key", F.get_json_object("value", "$.value.power").alias("power"))
     assert [(r.key, r.power) for r in late.collect()] == [("a_1", "50.0")]
     assert [r.sessionId for r in live(spark, out).collect()] == ["b_2"]
-    assert spark.read.parquet(out + "/raw").count() == 11
+    raw = spark.read.parquet(out + "/live").filter(F.col("topic") == S.ACTIVE_RAW_TOPIC)
+    assert raw.filter("value is not null").count() == 11
+    assert {r.key for r in topics.after_last_tombstone(raw).collect()} == {"b_2"}
 
 
 def test_lifecycle_forgets_idle_and_closed_sessions(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     feed(spark, source, PARTS[0] + full_session("z", "9"))
     query = job.start_lifecycle(
-        typed_stream(spark, source), out, out + "/cp", closed_ms=1, idle_ms=1, processingTime="1 second"
+        typed_stream(spark, source), job.file_sinks(out), out + "/cp", closed_ms=1, idle_ms=1, processingTime="1 second"
     )
     try:
         for _ in range(120):

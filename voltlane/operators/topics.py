@@ -96,17 +96,22 @@ def to_active_state(state: DataFrame) -> DataFrame:
 
 
 def to_tombstones(stops: DataFrame, topics: tuple[str, ...] = (S.ACTIVE_TOPIC, S.ACTIVE_RAW_TOPIC)) -> DataFrame:
-    """One null value per stopped session and topic."""
-    keys = stops.select(F.col("sessionId").alias("key")).distinct()
+    """One null value per stopped session and topic, at the offset of its last stop message."""
+    keys = stops.groupBy(F.col("sessionId").alias("key")).agg(F.max("offset").alias("offset"))
     return keys.select(
-        F.explode(F.array(*[F.lit(t) for t in topics])).alias("topic"), "key", F.lit(None).cast("string").alias("value")
+        F.explode(F.array(*[F.lit(t) for t in topics])).alias("topic"),
+        "key",
+        F.lit(None).cast("string").alias("value"),
+        "offset",
     )
 
 
 def compacted_view(records: DataFrame) -> DataFrame:
     """Latest value per topic and key; keys whose latest record is a tombstone are absent."""
+    # At the same offset a tombstone comes last.
+    place = F.struct("offset", F.col("value").isNull())
     latest = records.groupBy("topic", "key").agg(
-        F.max_by(F.struct("value"), "offset").alias("last"), F.max("offset").alias("offset")
+        F.max_by(F.struct("value"), place).alias("last"), F.max("offset").alias("offset")
     )
     return latest.filter(F.col("last.value").isNotNull()).select("topic", "key", "last.value", "offset")
 

@@ -334,8 +334,8 @@ WHERE c.topic = 'ocpp.active' AND NOT c.gone""",
   SELECT *, max(CASE WHEN gone THEN "offset" END) OVER (PARTITION BY topic, key) AS cut FROM live)
 SELECT topic, key, "offset" FROM l WHERE NOT gone AND (cut IS NULL OR "offset" > cut)""",
     "tombstones": f"""WITH {_T}
-SELECT DISTINCT t.topic, sessionId AS key, CAST(NULL AS VARCHAR) AS value FROM s
-CROSS JOIN (VALUES ('ocpp.active'), ('ocpp.active.raw')) AS t(topic) WHERE isStop""",
+SELECT t.topic, sessionId AS key, CAST(NULL AS VARCHAR) AS value, max("offset") AS "offset" FROM s
+CROSS JOIN (VALUES ('ocpp.active'), ('ocpp.active.raw')) AS t(topic) WHERE isStop GROUP BY t.topic, sessionId""",
     "retention": f"""WITH {_T}
 SELECT "offset", sessionId, eventTime FROM s WHERE eventTime >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 3 DAY""",
     "live_log_of_charger": f"""WITH {_T}

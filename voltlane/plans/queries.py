@@ -297,7 +297,7 @@ def raw_after_tombstone(spark, sf):
 
 
 def tombstones(spark, sf):
-    return topics.to_tombstones(filters.stop_messages(_typed(spark, sf)))
+    return topics.to_tombstones(filters.stop_messages(_typed(spark, sf))).select("topic", "key", "value", "offset")
 
 
 def retention(spark, sf):
@@ -478,7 +478,7 @@ def _session_job(spark, sf) -> str:
     out = scratch_folder(spark, "live")
     stream = _typed_stream(spark, _topic_files(spark, sf, 4), maxFilesPerTrigger=2)
     job.use_rocksdb(spark)
-    job.start_sessions(stream, out, out + "/checkpoint", availableNow=True).awaitTermination()
+    job.start_sessions(stream, job.file_sinks(out), out + "/checkpoint", availableNow=True).awaitTermination()
     return out
 
 
@@ -487,7 +487,7 @@ def stream_history(spark, sf):
 
 
 def stream_active(spark, sf):
-    live = views.active_overview(spark.read.parquet(_session_job(spark, sf) + "/topics"))
+    live = views.active_overview(spark.read.parquet(_session_job(spark, sf) + "/live"))
     return live.withColumns({c: F.col(c).cast("timestamp") for c in ("startTime", "lastSeen")})
 
 
@@ -500,7 +500,7 @@ def stream_lifecycle(spark, sf):
         arrived = records.filter(F.floor((F.dayofmonth("timestamp") - 1) / 8) == part)
         arrived.write.mode("append").parquet(folder)
         stream = _typed_stream(spark, folder)
-        job.start_lifecycle(stream, out, out + "/checkpoint", availableNow=True).awaitTermination()
+        job.start_lifecycle(stream, job.file_sinks(out), out + "/checkpoint", availableNow=True).awaitTermination()
     done = history.read_history(spark, out + "/history").select("sessionId", "startTime", "endTime", "eventCount")
     late = spark.read.parquet(out + "/late").groupBy(F.col("key").alias("sessionId")).agg(F.count("*").alias("late"))
     return done.join(late, "sessionId", "left").withColumn("late", F.coalesce("late", F.lit(0)))

@@ -2,16 +2,19 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _test_root() -> str:
+    return tempfile.mkdtemp(prefix="voltlane-")
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name under spark.checkpoint.dir; a temporary one only where the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="voltlane-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    """A new folder name under spark.checkpoint.dir; a local one only where the session names none, as in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _test_root()
     return f"{root.rstrip('/')}/voltlane-{label}-{uuid.uuid4().hex}"
 
 

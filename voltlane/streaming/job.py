@@ -24,6 +24,7 @@ def session_stream(messages: DataFrame, watermark: str = "1 hour") -> DataFrame:
     aggregates = sessions.session_aggregates() + [
         F.max("eventTime").alias("latest"),
         F.max("isStop").alias("stopped"),
+        F.max("offset").alias("lastOffset"),
         F.count(F.when(F.col("action") == S.METER, 1)).alias("runningCount"),
     ]
     grouped = messages.withWatermark("eventTime", watermark).groupBy(*GROUP).agg(*aggregates)
@@ -31,11 +32,33 @@ def session_stream(messages: DataFrame, watermark: str = "1 hour") -> DataFrame:
 
 
 def live_state(aggregated: DataFrame) -> DataFrame:
+    """Live topic records of the sessions without a stop."""
     going = aggregated.filter(~F.col("stopped")).withColumn("lastSeen", F.col("latest"))
-    return going.select(*running.state_columns())
+    return topics.to_active_state(going.select(*running.state_columns(), F.col("lastOffset").alias("offset")))
 
 
-def start_sessions(messages: DataFrame, out: str, checkpoint: str, **trigger):
+def tombstones(stopped: DataFrame) -> DataFrame:
+    """Tombstones of stopped sessions, placed after their last message."""
+    return topics.to_tombstones(stopped.select("sessionId", F.col("lastOffset").alias("offset")))
+
+
+def file_sinks(out: str) -> dict:
+    """Live topics, late messages and history as Parquet folders under ``out``, one sub-folder per batch."""
+    write = lambda name: lambda df, batch_id: tables.write_batch(df, f"{out}/{name}", batch_id)
+    return {"live": write("live"), "history": write("history"), "late": write("late")}
+
+
+def kafka_sink(**options):
+    """Sink for ``live``: each record goes to the topic it names. A repeated batch repeats records, which
+    compaction folds away."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.select("topic", "key", "value").write.format("kafka").options(**options).save()
+
+    return write
+
+
+def start_sessions(messages: DataFrame, sinks: dict, checkpoint: str, **trigger):
     """Live state, history and tombstones from one aggregated stream.
 
     Each batch holds the sessions it changed. Spark combines the rows of a session before the shuffle, so a
@@ -44,11 +67,9 @@ def start_sessions(messages: DataFrame, out: str, checkpoint: str, **trigger):
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            topic = topics.to_active_state(live_state(batch)).unionByName(
-                topics.to_tombstones(batch.filter(F.col("stopped")))
-            )
-            tables.write_batch(topic.withColumn("offset", F.lit(batch_id).cast("long")), f"{out}/topics", batch_id)
-            tables.write_batch(sessions.session_metrics(batch), f"{out}/history", batch_id)
+            stopped = batch.filter(F.col("stopped"))
+            sinks["live"](live_state(batch).unionByName(tombstones(stopped)), batch_id)
+            sinks["history"](sessions.session_metrics(batch), batch_id)
         finally:
             batch.unpersist()
 
@@ -58,7 +79,7 @@ def start_sessions(messages: DataFrame, out: str, checkpoint: str, **trigger):
 
 def start_lifecycle(
     messages: DataFrame,
-    out: str,
+    sinks: dict,
     checkpoint: str,
     closed_ms: int | None = None,
     idle_ms: int | None = None,
@@ -66,26 +87,22 @@ def start_lifecycle(
 ):
     """Live log, live state, history and tombstones from one stream whose state is dropped after the stop.
 
-    One query writes all four, the tombstones of a batch in the same step as its states, so no live record can
-    follow the tombstone of its session. Messages after the stop go to ``late``."""
+    One query writes all of them, and a batch's log before its tombstones, so no live record can follow the
+    tombstone of its session. Messages after the stop go to ``late``."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            write = lambda df, name: tables.write_batch(df, f"{out}/{name}", batch_id)
             record = [F.lit(S.ACTIVE_RAW_TOPIC).alias("topic"), F.col("sessionId").alias("key"), "value", "offset"]
-            write(batch.filter("kind = 'raw'").select(*record), "raw")
-            write(batch.filter("kind = 'late'").select(*record), "late")
             session = F.from_json("value", lifecycle.SESSION).alias("session")
-            state = batch.filter("kind in ('state', 'closed', 'expired')").select(
-                "kind", "chargerId", "transactionId", "sessionId", session
-            )
-            state = state.select("kind", "chargerId", "transactionId", "sessionId", "session.*")
-            going = state.filter("kind = 'state'").withColumn("lastSeen", F.col("latest"))
-            live = topics.to_active_state(going.select(*running.state_columns()))
-            gone = topics.to_tombstones(state.filter("kind <> 'state'"))
-            write(live.unionByName(gone).withColumn("offset", F.lit(batch_id).cast("long")), "topics")
-            write(sessions.session_metrics(state.filter("kind = 'closed'")), "history")
+            state = batch.filter("kind in ('state', 'closed', 'expired')")
+            state = state.select("kind", "chargerId", "transactionId", "sessionId", session).select("*", "session.*")
+            raw = batch.filter("kind = 'raw'").select(*record)
+            changes = live_state(state.withColumn("stopped", F.col("kind") != "state"))
+            gone = tombstones(state.filter("kind <> 'state'"))
+            sinks["live"](raw.unionByName(changes).unionByName(gone), batch_id)
+            sinks["history"](sessions.session_metrics(state.filter("kind = 'closed'")), batch_id)
+            sinks["late"](batch.filter("kind = 'late'").select(*record), batch_id)
         finally:
             batch.unpersist()
 

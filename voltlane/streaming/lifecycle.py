@@ -15,7 +15,7 @@ SESSION = (
     "startTime TIMESTAMP, endTime TIMESTAMP, latest TIMESTAMP, eventCount BIGINT, runningCount BIGINT, "
     "powerSum DOUBLE, powerCount BIGINT, maxPower DOUBLE, socStart DOUBLE, socEnd DOUBLE, voltageSum DOUBLE, "
     "voltageCount BIGINT, meterStart BIGINT, meterStop BIGINT, connectorId INT, idTag STRING, "
-    "terminationReason STRING, voltageAvg DOUBLE"
+    "terminationReason STRING, voltageAvg DOUBLE, lastOffset BIGINT"
 )
 INPUT = ["sessionId", "offset", "chargerId", "transactionId", "action", "eventTime", "power", "soc", "voltage",
          "meterStart", "meterStop", "idTag", "connectorId", "reason", "isStop"]
@@ -71,6 +71,7 @@ def _summary(rows: pd.DataFrame) -> dict:
         "connectorId": _most(_known(rows, "connectorId", started), int),
         "idTag": max(_present(rows["idTag"][started]), default=None),
         "terminationReason": max(_present(rows["reason"][stopped]), default=None),
+        "lastOffset": int(rows["offset"].max()),
     }
 
 
@@ -98,7 +99,7 @@ class SessionLifecycle(StatefulProcessor):
     @staticmethod
     def _session(kind, key, state):
         text = json.dumps({c: state[c] for c in _SESSION_FIELDS}, default=datetime.isoformat)
-        return [(kind, key[0], state["chargerId"], state["transactionId"], None, text)]
+        return [(kind, key[0], state["chargerId"], state["transactionId"], state["lastOffset"], text)]
 
     @staticmethod
     def _messages(kind, key, rows):
