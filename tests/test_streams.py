@@ -121,3 +121,20 @@ def test_log_files_arrive_as_a_stream(spark, tmp_path):
     writer = parsed.select("uniqueId", "kind", "arrival").writeStream.format("parquet").option("path", out)
     writer.option("checkpointLocation", out + "-cp").trigger(availableNow=True).start().awaitTermination()
     assert [(r.uniqueId, r.kind) for r in spark.read.parquet(out).collect()] == [("1", "request")]
+
+
+def test_live_log_alone(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    feed(spark, source, full_session("a", "1"))
+    job.start_live_log(typed_stream(spark, source), job.file_sinks(out), out + "/cp", availableNow=True).awaitTermination()
+    assert [r.offset for r in spark.read.parquet(out + "/live").orderBy("offset").collect()] == [0, 1, 2, 3]
+
+
+def test_keyed_table_sink_skips_known_sessions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    done = sessions.completed_sessions(jobs.typed_sessions(records(spark, full_session("a", "1"))))
+    done.limit(0).write.parquet(path)
+    write = job.table_sink(format="parquet", path=path)
+    write(done, 0)
+    write(done.unionByName(done.withColumn("sessionId", F.lit("new"))), 1)
+    assert sorted(r.sessionId for r in spark.read.parquet(path).collect()) == ["a_1", "new"]

@@ -58,6 +58,25 @@ def kafka_sink(**options):
     return write
 
 
+def table_sink(key: str = "sessionId", **options):
+    """Sink for ``history`` in a keyed table, such as JDBC: sessions the table already has are left out."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        reading = {k: v for k, v in options.items() if k != "format"}
+        existing = df.sparkSession.read.format(options.get("format", "jdbc")).options(**reading).load()
+        tables.write_table(df, existing, key, **options)
+
+    return write
+
+
+def start_live_log(messages: DataFrame, sinks: dict, checkpoint: str, **trigger):
+    """The live log alone, without state. A message after the stop of its session is written too; readers take
+    topics.after_last_tombstone or leave out stopped sessions."""
+    log = topics.to_active_raw(messages)
+    writer = log.writeStream.outputMode("append").foreachBatch(sinks["live"])
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def start_sessions(messages: DataFrame, sinks: dict, checkpoint: str, **trigger):
     """Live state, history and tombstones from one aggregated stream.
 

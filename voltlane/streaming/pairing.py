@@ -6,14 +6,18 @@ from pyspark.sql import functions as F
 from voltlane.operators import pairing
 
 
-def match_stream(parsed: DataFrame, wait: str = "10 minutes") -> DataFrame:
+def match_stream(parsed: DataFrame, wait: str = "10 minutes", salts: int = 8) -> DataFrame:
     """Pairs as soon as both calls are there; lone calls once ``wait`` has passed without a partner.
 
-    ``parsed`` has an ``arrival`` timestamp. Each side keeps the first call per id inside the watermark, so a
-    repeated id cannot multiply rows in the join."""
+    ``parsed`` has an ``arrival`` timestamp. Each side keeps one call per id inside the watermark, so a
+    repeated id cannot multiply rows in the join. A first, salted step leaves at most ``salts`` calls of an id, so
+    an id that fills the log is not one task's work; 1 leaves the step out."""
 
     def side(kind, prefix):
         calls = parsed.filter(F.col("kind") == kind).withWatermark("arrival", wait)
+        if salts > 1:
+            calls = calls.withColumn("salt", F.pmod(F.xxhash64("message", "arrival"), F.lit(salts)))
+            calls = calls.dropDuplicatesWithinWatermark(["uniqueId", "salt"])
         calls = calls.dropDuplicatesWithinWatermark(["uniqueId"])
         return calls.select(
             F.col("uniqueId").alias(f"{prefix}Id"),
