@@ -1,11 +1,13 @@
 """The registered queries of this subpackage and, where SQL can say the same, their SQL."""
 
-from voltlane.llm import language, pieces, secrets, token_counts
+from voltlane.llm import language, mixing, ngram_join, pieces, secrets, token_counts
 
 QUERIES = {
     "op1_language_id": language.op1,
     "op2_secret_scan": secrets.op2,
     "op4_token_counts": token_counts.op4,
     "op5_sentencepiece": pieces.op5,
+    "op9_source_mix": mixing.op9,
+    "op10_ngram_join": ngram_join.op10,
 }
 SQL: dict[str, str] = {}
