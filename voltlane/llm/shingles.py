@@ -34,8 +34,9 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and the number of words of each text."""
+def word_hashes_of(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """The lower-cased texts' bytes, each text closed by a blank; where words start and end in them; the words' hashes;
+    where texts end, their blank included."""
     parts = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b" ".join(parts) + b" ", dtype=np.uint8)
     blank = _BLANK[data]
@@ -44,7 +45,12 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     power, inverse = _powers(max(16, int(len(data)).bit_length()))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTES[data] * power[: len(data)], dtype=np.uint64)])
     hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
-    text_ends = np.cumsum([len(p) + 1 for p in parts])
+    return data, starts, ends, hashes, np.cumsum([len(p) + 1 for p in parts])
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and the number of words of each text."""
+    _, starts, _, hashes, text_ends = word_hashes_of(texts)
     return hashes, np.diff(np.searchsorted(starts, text_ends), prepend=0)
 
 
