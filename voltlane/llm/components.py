@@ -8,22 +8,29 @@ from voltlane.scratch import staged
 ROUNDS = 60
 
 
+def _least(edges: DataFrame, least) -> DataFrame:
+    """(u, m) by node. Grouped by the inverted node: so the rows are shuffled again for the join that follows, which
+    Spark can then split where a node has very many edges; it doesn't split a join right behind an aggregate."""
+    inverted = edges.groupBy(F.bitwise_not("u").alias("not_u")).agg(least.alias("m"))
+    return inverted.select(F.bitwise_not("not_u").alias("u"), "m")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the least of the node and its neighbours."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = _least(both, F.least(F.min("v"), F.min("u")))
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = _least(edges, F.min("v"))
     moved = edges.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of the nodes of ``edges`` (u, v), of any orderable type; a component is its least node.
+    """(node, component) of the nodes of ``edges`` (u, v), whole numbers; a component is its least node.
 
     Edges are table rows throughout, no list of neighbours is built, and each round is written to the shared folder.
     The least neighbours are partial aggregates; a node with many neighbours makes a skewed join, which Spark splits."""
