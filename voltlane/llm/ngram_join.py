@@ -254,5 +254,21 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: tuple[int, int] = THRESHO
     )
 
 
+def representatives(docs: DataFrame) -> DataFrame:
+    """One document of each class of ``ngram_join``, the one of least doc_id; of rows that repeat doc_id and text, one.
+    Columns stay as they are; rows without doc_id stay."""
+    rows = staged(ngram_join(docs).filter(F.col("doc_id").isNotNull()), "classes")
+    gone = rows.filter(~F.col("kept")).select("doc_id").distinct()
+    repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    gone, repeated = staged(gone, "gone"), staged(repeated, "repeated")
+    if gone.count() <= BROADCAST_TEXTS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, "doc_id", "left_anti").unionByName(once)
+
+
 def op10(spark, sf_dir: str) -> DataFrame:
     return ngram_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -1,10 +1,22 @@
 """The registered queries of this subpackage and, where SQL can say the same, their SQL."""
 
-from voltlane.llm import embedding_dedup, language, line_dedup, mixing, nearest, ngram_join, pieces, secrets, token_counts
+from voltlane.llm import (
+    embedding_dedup,
+    language,
+    line_dedup,
+    mixing,
+    nearest,
+    ngram_join,
+    pieces,
+    secrets,
+    token_counts,
+    url_filter,
+)
 
 QUERIES = {
     "op1_language_id": language.op1,
     "op2_secret_scan": secrets.op2,
+    "op3_url_filter": url_filter.op3,
     "op4_token_counts": token_counts.op4,
     "op5_sentencepiece": pieces.op5,
     "op6_embedding_near_dedup": embedding_dedup.op6,
@@ -13,4 +25,4 @@ QUERIES = {
     "op9_source_mix": mixing.op9,
     "op10_ngram_join": ngram_join.op10,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_url_filter": url_filter.SQL}
