@@ -27,9 +27,9 @@ from voltlane.llm.vectors import by_length, cosine, matrix, unit, usable
 from voltlane.scratch import staged
 
 THRESHOLD = 0.95
-LIST = 24
+LIST = 32
 HELD = 8
-LEAST = 20
+LEAST = 32
 WIDEST_CAP = 0.9
 SKETCH_BITS = 128
 SKETCH_MOST = 30
