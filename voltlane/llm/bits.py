@@ -4,7 +4,7 @@ import numpy as np
 
 from voltlane.llm.cells import linked_roots
 
-PAIRWISE = 32
+PAIRWISE = 64
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -28,9 +28,9 @@ from voltlane.scratch import staged
 
 THRESHOLD = 0.95
 LIST = 32
-HELD = 8
+HELD = 32
 LEAST = 32
-WIDEST_CAP = 0.9
+WIDEST_CAP = 0.8
 SKETCH_BITS = 128
 SKETCH_MOST = 30
 CELL = 1024
