@@ -2,6 +2,7 @@ from datetime import datetime
 
 import pytest
 from helpers import call, reading, records
+from pyspark.sql import functions as F
 
 from voltlane.functions.calls import event_time
 from voltlane.sources import messages as M
@@ -14,7 +15,7 @@ def decode(spark, text, **options):
     return rows[0] if rows else None
 
 
-@pytest.mark.parametrize("text", ["", "not a valid tuple", '[2, "short"]', "5", '{"a": 1}', None])
+@pytest.mark.parametrize("text", ["", "no call at all", '[2, "short"]', "5", '{"a": 1}', None])
 def test_undecodable_calls_are_dropped(spark, text):
     assert decode(spark, text) is None
 
@@ -29,8 +30,8 @@ def test_numeric_transaction_id_becomes_text(spark):
 
 
 def test_first_power_wins_and_bad_values_are_skipped(spark):
-    values = [reading(AT, power="not_a_number"), reading(AT, power=2200.5), reading(AT, power=2300.0)]
-    assert decode(spark, call("MeterValues", meterValue=values)).power == 2200.5
+    values = [reading(AT, power="twelve"), reading(AT, power=1840.25), reading(AT, power=1910.0)]
+    assert decode(spark, call("MeterValues", meterValue=values)).power == 1840.25
     assert decode(spark, call("MeterValues", meterValue=values[:1])).power is None
     assert decode(spark, call("MeterValues", meterValue=[reading(AT, voltage=230)])).power is None
 
@@ -53,10 +54,14 @@ def test_entry_without_samples_is_no_obstacle(spark):
 
 
 def test_start_and_stop_fields(spark):
-    row = decode(spark, call("StartTransaction", meterStart=1000, meterStop="1500", idTag="RFID123", connectorId=1))
-    assert (row.meterStart, row.meterStop, row.idTag, row.connectorId) == (1000, 1500, "RFID123", 1)
+    row = decode(spark, call("StartTransaction", meterStart=8800, meterStop="9125", idTag="card-jade", connectorId=3))
+    assert (row.meterStart, row.meterStop, row.idTag, row.connectorId) == (8800, 9125, "card-jade", 3)
     assert decode(spark, call("StartTransaction", meterStart=10.7)).meterStart == 10
+    assert decode(spark, call("StartTransaction", meterStart="10.7", connectorId="2.0")).meterStart is None
+    assert decode(spark, call("StartTransaction", connectorId="2.0")).connectorId is None
+    assert decode(spark, call("StartTransaction", connectorId=2.0)).connectorId == 2
     assert decode(spark, call("StartTransaction", meterStart="junk")).meterStart is None
+    assert decode(spark, call("StartTransaction", meterStart=None, connectorId=[1])).connectorId is None
     assert decode(spark, call("StartTransaction", meterStart=5_000_000_000)).meterStart == 5_000_000_000
 
 
@@ -107,19 +112,37 @@ def test_stop_actions(spark):
 
 def test_python_literals(spark):
     text = "[2, 'u1', 'StopTransaction', {'transactionId': None, 'reason': 'it\\'s', 'ok': True}]"
-    assert decode(spark, text) is None
-    row = decode(spark, text, python_literals=True)
+    assert decode(spark, text, python_literals=False) is None
+    row = decode(spark, text)
     assert (row.action, row.reason, row.transactionId) == ("StopTransaction", "it's", None)
 
 
 def test_tuple_literal(spark):
-    assert decode(spark, "(2, 'u1', 'Heartbeat', {})", python_literals=True).action == "Heartbeat"
+    assert decode(spark, "(2, 'u1', 'Heartbeat', {})").action == "Heartbeat"
 
 
 def test_session_only_keeps_escaped_actions(spark):
     escaped = '[2, "u", "Stop\\u0054ransaction", {"transactionId": "1"}]'
-    rows = M.decode_messages(records(spark, [escaped, call("Heartbeat")]), session_only=True).collect()
-    assert [r.action for r in rows] == ["StopTransaction"]
+    pieces = "[2, 'u', 'Meter' 'Values', {'transactionId': None}]"
+    hexed = "[2, 'u', '\\x4deterValues', {'transactionId': None}]"
+    texts = [escaped, call("Heartbeat"), pieces, hexed]
+    rows = M.decode_messages(records(spark, texts), session_only=True).collect()
+    assert [r.action for r in rows] == ["StopTransaction", "MeterValues", "MeterValues"]
+
+
+def test_status_of_any_spelling(spark):
+    texts = ['[2, "u", "Status\\u004eotification", {"status": "Faulted"}]', "[2, 'u', 'StatusNotification', {'status': None}]"]
+    assert [r.status for r in M.decode_status(records(spark, texts)).collect()] == ["Faulted", None]
+
+
+def test_offsets_of_several_partitions_stay_apart(spark, tmp_path):
+    rows = records(spark, [call("Heartbeat")] * 3).withColumn("offset", F.lit(0).cast("long"))
+    rows.withColumn("partition", F.substring("key", 2, 1).cast("int")).write.parquet(str(tmp_path / "t"))
+    read = M.read_messages_batch(spark, str(tmp_path / "t"), "parquet")
+    assert sorted(r.offset for r in read.collect()) == [0, 1, 2] and "partition" not in read.columns
+    rows.withColumn("partition", F.lit(M.PARTITIONS)).write.parquet(str(tmp_path / "far"))
+    with pytest.raises(Exception, match="partition out of range"):
+        M.read_messages_batch(spark, str(tmp_path / "far"), "parquet").collect()
 
 
 def test_bad_envelope_leaves_no_row(spark):
@@ -133,4 +156,4 @@ def test_json_is_parsed_once(spark):
     df = M.decode_messages(records(spark, [call("Heartbeat")]), session_only=True)
     df = df.filter("transactionId is not null and eventTime is not null and power > 1")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json(") == 3
+    assert plan.count("from_json(") == 4  # envelope, call, call of a literal, payload

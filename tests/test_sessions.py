@@ -20,11 +20,11 @@ def test_completed_session(spark):
     assert len(row) == 1
     got = row[0].asDict()
     assert got == {
-        "sessionId": "charger9_t9", "stationId": "charger9", "transactionId": "t9", "status": "completed",
-        "startTime": datetime(2025, 1, 1, 12), "endTime": datetime(2025, 1, 1, 12, 5), "duration": 300,
-        "lastSeen": datetime(2025, 1, 1, 12, 5), "terminationReason": "RemoteStop", "totalEnergyConsumed": 2.583,
-        "avgPower": 31.0, "maxPower": 32.0, "idTag": "RFID789", "connectorId": 1, "meterStart": 3000,
-        "meterStop": 3500, "socStart": 70.0, "socEnd": 80.0, "voltageAvg": 250.0, "eventCount": 5,
+        "sessionId": "pole-k_t77", "stationId": "pole-k", "transactionId": "t77", "status": "completed",
+        "startTime": datetime(2025, 3, 4, 8, 15), "endTime": datetime(2025, 3, 4, 8, 35), "duration": 1200,
+        "lastSeen": datetime(2025, 3, 4, 8, 35), "terminationReason": "Local", "totalEnergyConsumed": 5.0,
+        "avgPower": 15.0, "maxPower": 22.5, "idTag": "card-amber", "connectorId": 2, "meterStart": 41200,
+        "meterStop": 41950, "socStart": 43.0, "socEnd": 49.0, "voltageAvg": 233.0, "eventCount": 5,
     }
 
 
@@ -39,8 +39,8 @@ def test_active_session_is_not_in_history(spark):
     messages = typed(spark, full_session()[:3])
     state = running.running_state(messages).collect()
     assert sessions.completed_sessions(messages).count() == 0
-    assert [(r.status, r.duration, r.runningCount) for r in state] == [("active", 120, 2)]
-    assert state[0].energyConsumedSoFar == round(30.5 * 120 / 3600, 4)
+    assert [(r.status, r.duration, r.runningCount) for r in state] == [("active", 480, 2)]
+    assert state[0].energyConsumedSoFar == round(11.25 * 480 / 3600, 4)
 
 
 def test_pending_until_the_first_reading(spark):
@@ -55,7 +55,7 @@ def test_same_transaction_on_two_chargers(spark):
 
 def test_remote_stop_ends_a_session_by_default(spark):
     calls = full_session()[:2] + [
-        ("charger9", call("RemoteStopTransaction", transactionId="t9", timestamp="2025-01-01T12:09:00.000Z"))
+        ("pole-k", call("RemoteStopTransaction", transactionId="t77", timestamp="2025-03-04T08:24:00.000Z"))
     ]
     messages = typed(spark, calls)
     assert sessions.completed_sessions(messages).first().duration == 540
@@ -65,7 +65,7 @@ def test_remote_stop_ends_a_session_by_default(spark):
 def test_session_status(spark):
     calls = full_session("a", "1") + full_session("b", "2")[:3] + full_session("c", "3")[:1]
     found = {r.stationId: r for r in sessions.session_status(typed(spark, calls)).collect()}
-    assert (found["a"].status, found["a"].terminationReason) == ("ended", "RemoteStop")
+    assert (found["a"].status, found["a"].terminationReason) == ("ended", "Local")
     assert (found["b"].status, found["b"].terminationReason, found["b"].endTime) == ("active", None, None)
     assert found["c"].status is None
 

@@ -35,7 +35,7 @@ PARTS = [
     full_session("a", "1")[:3] + full_session("b", "2")[:1],
     full_session("b", "2")[1:3] + full_session("a", "1")[3:],
     full_session("c", "3") + [("a", call("MeterValues", transactionId="1", meterValue=[
-        reading("2025-01-01T12:09:00.000Z", power=50)]))],
+        reading("2025-03-04T08:44:00.000Z", power=50)]))],
 ]
 
 
@@ -90,6 +90,8 @@ def test_lifecycle_forgets_idle_and_closed_sessions(spark, tmp_path):
         query.stop()
     assert live(spark, out).count() == 0
     assert [r.sessionId for r in read_history(spark, out + "/history").collect()] == ["z_9"]
+    idle = spark.read.parquet(out + "/expired").select("sessionId", "eventCount").collect()
+    assert sorted(map(tuple, idle)) == [("a_1", 3), ("b_2", 1)]
 
 
 def test_pairs_of_a_live_log(spark, tmp_path):
@@ -106,11 +108,16 @@ def test_pairs_of_a_live_log(spark, tmp_path):
     arrive(('c : [2,"1","A",{}]', "2025-01-01 10:00:00"), ('c : [2,"2","A",{}]', "2025-01-01 10:00:00"),
            ('c : [2,"2","B",{}]', "2025-01-01 10:00:01"))
     arrive(('c : [3,"1",{}]', "2025-01-01 10:05:00"), ('c : [3,"9",{}]', "2025-01-01 10:05:00"))
-    # Later calls move both watermarks on.
-    arrive(('c : [2,"x","A",{}]', "2025-01-01 12:00:00"), ('c : [3,"y",{}]', "2025-01-01 12:00:00"))
-    arrive(('c : [2,"x2","A",{}]', "2025-01-01 12:00:01"), ('c : [3,"y2",{}]', "2025-01-01 12:00:01"))
-    got = sorted((r.uniqueId, r.status) for r in spark.read.parquet(out).collect())
-    assert got == [("1", "pair"), ("2", "unpaired_request"), ("9", "unpaired_response")]
+    # Later calls move the watermark on.
+    arrive(('c : [2,"x","A",{}]', "2025-01-01 12:00:00"), ("c : no call", "2025-01-01 12:00:00"))
+    arrive(('c : [2,"x2","A",{}]', "2025-01-01 12:00:01"))
+    rows = spark.read.parquet(out).collect()
+    got = sorted((r.uniqueId or "", r.status) for r in rows)
+    assert got == [("", "reject"), ("1", "pair"), ("2", "unpaired_request"), ("9", "unpaired_response")]
+    assert [r.request for r in rows if r.uniqueId == "2"] == ['[2,"2","B",{}]']  # the last one counts
+    letters = topics.to_dead_letter(spark.read.parquet(out)).select(F.get_json_object("value", "$.reason").alias("r"))
+    assert sorted(r.r for r in letters.collect()) == [
+        "JSON/ast parsing failed", "unpaired_request_no_response", "unpaired_response_no_request"]
 
 
 def test_log_files_arrive_as_a_stream(spark, tmp_path):
@@ -130,11 +137,47 @@ def test_live_log_alone(spark, tmp_path):
     assert [r.offset for r in spark.read.parquet(out + "/live").orderBy("offset").collect()] == [0, 1, 2, 3]
 
 
-def test_keyed_table_sink_skips_known_sessions(spark, tmp_path):
-    path = str(tmp_path / "table")
+def test_merge_sink_replaces_known_sessions(spark, tmp_path):
+    staging, table = str(tmp_path / "staging"), {}
+
+    def merge(spark, batch_id):  # what the statement does in a database
+        table.update({r.sessionId: r.duration for r in spark.read.parquet(staging).collect()})
+
     done = sessions.completed_sessions(jobs.typed_sessions(records(spark, full_session("a", "1"))))
-    done.limit(0).write.parquet(path)
-    write = job.table_sink(format="parquet", path=path)
+    write = job.merge_sink(merge, order="duration", format="parquet", path=staging)
     write(done, 0)
-    write(done.unionByName(done.withColumn("sessionId", F.lit("new"))), 1)
-    assert sorted(r.sessionId for r in spark.read.parquet(path).collect()) == ["a_1", "new"]
+    later = done.withColumn("duration", F.lit(9999))
+    write(done.unionByName(later).unionByName(done.withColumn("sessionId", F.lit("new"))), 1)
+    assert table == {"a_1": 9999, "new": 1200}
+
+
+def test_a_session_that_goes_on_after_its_stop_is_replaced(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    stop = ("a", call("StopTransaction", transactionId="1", timestamp="2025-03-04T09:15:00.000Z"))
+    for i, part in enumerate((full_session("a", "1"), [stop])):
+        feed(spark, source, part, i * 100)
+        job.start_sessions(typed_stream(spark, source), job.file_sinks(out), out + "/cp", availableNow=True).awaitTermination()
+    assert [(r.sessionId, r.duration) for r in read_history(spark, out + "/history").collect()] == [("a_1", 3600)]
+
+
+def test_tombstones_are_written_after_all_the_rest(spark, tmp_path):
+    source, order = str(tmp_path / "in"), []
+    feed(spark, source, full_session("a", "1") + full_session("b", "2")[:2])
+    names = ("live", "history", "late", "expired", "tombstones")
+    sinks = {n: lambda df, i, n=n: order.append((i, n, df.count())) for n in names}
+    for start in (job.start_lifecycle, job.start_sessions):
+        order.clear()
+        start(typed_stream(spark, source), sinks, str(tmp_path / start.__name__), availableNow=True).awaitTermination()
+        assert sum(count for _, n, count in order if n == "tombstones") == 2
+        for batch in {i for i, _, _ in order}:
+            written = [n for i, n, _ in order if i == batch]
+            assert written[-1] == "tombstones" and written.count("tombstones") == 1
+
+
+def test_a_continuous_run_bounds_its_state(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(job.lifecycle, "session_lifecycle", lambda m, closed, idle: seen.append((closed, idle)) or 1 / 0)
+    for trigger in ({"availableNow": True}, {"processingTime": "1 second"}, {}):
+        with pytest.raises(ZeroDivisionError):
+            job.start_lifecycle(None, {}, "x", **trigger)
+    assert seen == [(None, None), (job.CLOSED_MS, job.IDLE_MS), (job.CLOSED_MS, job.IDLE_MS)]

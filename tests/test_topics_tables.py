@@ -36,8 +36,8 @@ def test_tombstones_go_to_both_topics_once(spark):
     stops = jobs.typed_sessions(records(spark, full_session() + full_session())).filter("isStop")
     got = topics.to_tombstones(stops).collect()
     assert sorted((r.topic, r.key, r.value) for r in got) == [
-        ("ocpp.active", "charger9_t9", None),
-        ("ocpp.active.raw", "charger9_t9", None),
+        ("ocpp.active", "pole-k_t77", None),
+        ("ocpp.active.raw", "pole-k_t77", None),
     ]
 
 
@@ -46,8 +46,8 @@ def test_live_log_values(spark):
     typed = jobs.typed_sessions(records(spark, full_session()[:1] + [extra]))
     start, meter = [json.loads(r.value) for r in topics.to_active_raw(typed).orderBy("offset").collect()]
     assert start == {
-        "stationId": "charger9", "timestamp": "2025-01-01T12:00:00.000+00:00", "action": "StartTransaction",
-        "value": {"transactionId": "t9", "meterStart": 3000, "idTag": "RFID789", "connectorId": 1},
+        "stationId": "pole-k", "timestamp": "2025-03-04T08:15:00.000+00:00", "action": "StartTransaction",
+        "value": {"transactionId": "t77", "meterStart": 41200, "idTag": "card-amber", "connectorId": 2},
     }
     assert meter["value"] == {"power": 0.0, "soc": None, "voltage": None}
 
@@ -55,11 +55,11 @@ def test_live_log_values(spark):
 def test_live_state_value(spark):
     typed = jobs.typed_sessions(records(spark, full_session()[:3]))
     record = topics.to_active_state(running.running_state(typed)).first()
-    assert record.key == "charger9_t9"
+    assert record.key == "pole-k_t77"
     assert json.loads(record.value) == {
-        "sessionId": "charger9_t9", "stationId": "charger9", "transactionId": "t9", "status": "active",
-        "startTime": "2025-01-01T12:00:00+00:00", "lastSeen": "2025-01-01T12:02:00+00:00", "duration": 120,
-        "energyConsumedSoFar": 1.0167, "runningCount": 2,
+        "sessionId": "pole-k_t77", "stationId": "pole-k", "transactionId": "t77", "status": "active",
+        "startTime": "2025-03-04T08:15:00+00:00", "lastSeen": "2025-03-04T08:23:00+00:00", "duration": 480,
+        "energyConsumedSoFar": 1.5, "runningCount": 2,
     }
 
 
@@ -89,14 +89,14 @@ def test_upsert(spark, history):
     both = update.unionByName(new)
     replaced = {r.sessionId: r.duration for r in tables.upsert(history, both).collect()}
     skipped = {r.sessionId: r.duration for r in tables.upsert(history, both, on_conflict="skip").collect()}
-    assert replaced == {"a_1": 1, "b_2": 300, "c_3": 300, "new": 1}
-    assert skipped == {"a_1": 300, "b_2": 300, "c_3": 300, "new": 1}
+    assert replaced == {"a_1": 1, "b_2": 1200, "c_3": 1200, "new": 1}
+    assert skipped == {"a_1": 1200, "b_2": 1200, "c_3": 1200, "new": 1}
 
 
 def test_update_and_delete(history):
     hit = F.col("stationId") == "a"
     updated = tables.update_rows(history, hit, {"idTag": F.lit("x"), "eventCount": F.col("eventCount") + 1})
-    assert sorted((r.idTag, r.eventCount) for r in updated.collect()) == [("RFID789", 5), ("RFID789", 5), ("x", 6)]
+    assert sorted((r.idTag, r.eventCount) for r in updated.collect()) == [("card-amber", 5), ("card-amber", 5), ("x", 6)]
     assert tables.delete_rows(history, hit).count() == 2
     assert tables.delete_rows(history, F.col("idTag") == None).count() == 3  # noqa: E711
     assert tables.delete_keys(history, history.filter(hit), "sessionId").count() == 2
@@ -113,17 +113,42 @@ def test_batches_are_idempotent_and_newest_wins(spark, history, tmp_path):
     for _ in range(2):
         tables.write_batch(history, path, 0)
     tables.write_batch(history.filter("stationId = 'a'").withColumn("duration", F.lit(7)), path, 1)
-    assert {r.sessionId: r.duration for r in read_history(spark, path).collect()} == {"a_1": 7, "b_2": 300, "c_3": 300}
+    assert {r.sessionId: r.duration for r in read_history(spark, path).collect()} == {"a_1": 7, "b_2": 1200, "c_3": 1200}
     tables.compact_table(read_history(spark, path), str(tmp_path / "d"))
     daily = spark.read.parquet(str(tmp_path / "d"))
     assert daily.count() == 3 and "day" in daily.columns
 
 
-def test_existing_keys_are_skipped_row_by_row(spark, history, tmp_path):
-    path = str(tmp_path / "t")
-    tables.write_table(history.filter("stationId = 'a'"), format="parquet", path=path)
-    tables.write_table(history, existing=spark.read.parquet(path), format="parquet", path=path)
-    assert spark.read.parquet(path).count() == 3
+def test_plain_and_daily_tables_are_read_as_they_are(spark, history, tmp_path):
+    history.write.parquet(str(tmp_path / "plain"))
+    assert read_history(spark, str(tmp_path / "plain")).exceptAll(history).count() == 0
+    for batch in (0, 1):
+        tables.write_batch(history.withColumn("duration", F.lit(batch)), str(tmp_path / "batches"), batch)
+    tables.compact_batches(spark, str(tmp_path / "batches"), str(tmp_path / "daily"))
+    daily = read_history(spark, str(tmp_path / "daily"))
+    assert [(r.duration, str(r.day)) for r in daily.collect()] == [(1, "2025-03-04")] * 3
+    plan = views.recent(daily, F.lit(datetime(2025, 3, 6)), 1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    (tmp_path / "none").mkdir()
+    assert read_history(spark, str(tmp_path / "none")).count() == 0
+    spark.range(1).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="no session table"):
+        read_history(spark, str(tmp_path / "other"))
+
+
+def test_repeated_updates_leave_one_row_per_key(history):
+    update = history.filter("stationId = 'a'")
+    twice = update.withColumn("duration", F.lit(1)).unionByName(update.withColumn("duration", F.lit(2)))
+    for options, expected in (({"order": "duration"}, 2), ({"order": F.col("duration") * -1}, 1), ({}, 2)):
+        rows = tables.upsert(history, twice, **options).collect()
+        assert sorted((r.sessionId, r.duration) for r in rows) == [("a_1", expected), ("b_2", 1200), ("c_3", 1200)]
+
+
+def test_merge_statement():
+    assert tables.merge_statement("done", "incoming", ["sessionId", "duration"]) == (
+        "MERGE INTO done t USING incoming s ON t.sessionId = s.sessionId WHEN MATCHED THEN UPDATE SET "
+        "duration = s.duration WHEN NOT MATCHED THEN INSERT (sessionId, duration) VALUES (s.sessionId, s.duration)"
+    )
 
 
 @pytest.mark.parametrize("format", ["json", "csv", "parquet"])
@@ -133,7 +158,7 @@ def test_export(spark, history, tmp_path, format):
     assert spark.read.format(format).load(path).count() == 3
     if format == "json":
         row = json.loads(spark.read.text(path).first().value)
-        assert row["totalEnergyConsumed"] == {"value": 2.583, "unit": "kWh"}
+        assert row["totalEnergyConsumed"] == {"value": 5.0, "unit": "kWh"}
 
 
 def test_json_rows_keep_nulls(history):
@@ -148,17 +173,17 @@ def test_quality_checks_find_what_is_wrong(history):
     assert quality.energy_mismatch(history).count() == 0
     assert quality.energy_mismatch(history.withColumn("avgPower", F.lit(99.0))).count() == 3
     assert quality.duration_mismatch(history).count() == 0
-    assert quality.duration_mismatch(history.withColumn("duration", F.lit(302))).count() == 3
+    assert quality.duration_mismatch(history.withColumn("duration", F.lit(1202))).count() == 3
     assert quality.not_completed(history).count() == 0
     assert quality.not_completed(history.withColumn("status", F.lit(None).cast("string"))).count() == 3
     assert quality.active_and_completed(history, history).count() == 3
 
 
 def test_views(spark, history):
-    as_of = F.lit(datetime(2025, 1, 3))
+    as_of = F.lit(datetime(2025, 3, 6))
     assert [r.sessions for r in views.energy_by_station(history, as_of, 1).collect()] == []
     assert {r.stationId: r.totalEnergy for r in views.energy_by_station(history, as_of, 30).collect()} == {
-        "a": 2.583, "b": 2.583, "c": 2.583}
+        "a": 5.0, "b": 5.0, "c": 5.0}
     assert views.termination_stats(history).first().sessions == 3
     assert views.station_sessions(history, "a", as_of).count() == 1
     assert views.sessions_by(history, "month", ()).first().sessions == 3

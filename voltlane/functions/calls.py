@@ -85,9 +85,16 @@ def first_sample(samples: Column, measurands: list[str]) -> Column:
     return F.get(F.filter(samples, lambda s: s["measurand"].isin(measurands)), F.lit(0))["value"].try_cast("double")
 
 
+def number_text(value: Column) -> Column:
+    """Text of a JSON value of any type: a number loses its fraction, a string stays as it is."""
+    text = F.try_variant_get(value, "$", "string")
+    whole = F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint")).cast("string")
+    return F.when(F.schema_of_variant(value) == "STRING", text).otherwise(whole)
+
+
 def whole_number(text: Column, kind: str) -> Column:
-    """Integer from JSON text; a JSON number with a fraction is truncated."""
-    return F.coalesce(text.try_cast(kind), F.when(text.rlike(r"^-?\d+\.\d+$"), text.try_cast("double").try_cast(kind)))
+    """Integer from the text of a JSON value; null for a string that holds no integer, such as "3.7"."""
+    return text.try_cast(kind)
 
 
 def session_id(charger: Column, transaction: Column) -> Column:

@@ -12,11 +12,12 @@ BLANK = " \t\r\n\f\x0b"
 SPACED_STAMP = r'"(\d{8})\s+(\d+Z)"'
 
 
-def parse_lines(lines: DataFrame, python_literals: bool = False) -> DataFrame:
+def parse_lines(lines: DataFrame, python_literals: bool = True) -> DataFrame:
     """Adds chargerId, kind (request, response or reject), uniqueId, message and reason to each line.
 
-    ``message`` is the call as JSON text with repaired timestamps. ``python_literals`` also accepts calls written
-    as Python literals holding True, False or None; it sends only the lines that are no JSON to Python."""
+    ``message`` is the call as JSON text with repaired timestamps. Calls written as Python literals, holding True,
+    False or None, are accepted too, and only lines that are no JSON go to Python; ``python_literals=False`` rejects
+    them."""
     # ``charger : call``, where the charger has neither a colon nor white space in it.
     colon = F.instr("line", ":")
     split = lines.withColumn("chargerId", F.rtrim(F.substring_index("line", ":", 1), F.lit(BLANK)))
@@ -55,7 +56,7 @@ def parse_lines(lines: DataFrame, python_literals: bool = False) -> DataFrame:
     )
 
 
-def parse_flat(lines: DataFrame, python_literals: bool = False) -> DataFrame:
+def parse_flat(lines: DataFrame, python_literals: bool = True) -> DataFrame:
     """Every call of two or more elements, of any type and without pairing; other lines are skipped."""
     parsed = parse_lines(lines, python_literals)
     return parsed.filter(F.col("elements") >= 2).select("chargerId", "uniqueId", "message")

@@ -4,10 +4,11 @@ Pairing is one grouped aggregation on the call id, not two de-duplications and a
 reduced on the map side first, so an id that fills a third of a log costs one row per task.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlane import schemas as S
+from voltlane.functions.calls import call_elements
 
 PAIR, LONE_REQUEST, LONE_RESPONSE, REJECT = "pair", "unpaired_request", "unpaired_response", "reject"
 
@@ -25,12 +26,13 @@ def _last(kind, pair_scope):
     return F.max_by(F.when(is_kind, F.struct("chargerId", "message")), F.when(is_kind, _order(pair_scope)))
 
 
+def status_of(request: Column, response: Column) -> Column:
+    both = F.when(request.isNotNull() & response.isNotNull(), PAIR)
+    return both.when(request.isNotNull(), LONE_REQUEST).otherwise(LONE_RESPONSE)
+
+
 def _status():
-    return (
-        F.when(F.col("req").isNotNull() & F.col("resp").isNotNull(), PAIR)
-        .when(F.col("req").isNotNull(), LONE_REQUEST)
-        .otherwise(LONE_RESPONSE)
-    )
+    return status_of(F.col("req"), F.col("resp"))
 
 
 def match_calls(parsed: DataFrame, pair_scope: str = "file") -> DataFrame:
@@ -95,7 +97,7 @@ def request_has_response(matched: DataFrame) -> DataFrame:
 
 def response_transaction_id(response):
     """The transactionId a response carries in its payload (third element)."""
-    return F.get_json_object(response, "$[2].transactionId")
+    return F.get_json_object(F.get(call_elements(response), F.lit(2)), "$.transactionId")
 
 
 def ingest_counts(all_outcomes: DataFrame) -> DataFrame:

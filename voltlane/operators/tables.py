@@ -1,6 +1,6 @@
 """Keyed tables: newest row per key, alignment to a contract, changes, writers and export."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -47,8 +47,17 @@ def keys_in_both(big: DataFrame, small: DataFrame, key: str = "sessionId") -> Da
     return big.select(key).join(small.select(key), key, "left_semi")
 
 
-def upsert(target: DataFrame, updates: DataFrame, key: str = "sessionId", on_conflict: str = "replace") -> DataFrame:
-    """One row per key: an update replaces the target's row, or is skipped where the key exists."""
+def upsert(
+    target: DataFrame,
+    updates: DataFrame,
+    key: str = "sessionId",
+    on_conflict: str = "replace",
+    order: str | Column | None = None,
+) -> DataFrame:
+    """One row per key: an update replaces the target's row, or is skipped where the key exists. Of several updates
+    of a key the one of the highest ``order`` counts, by default the highest row."""
+    rest = [c for c in updates.columns if c != key]
+    updates = last_per_key(updates, [key], F.struct(*rest) if order is None else order)
     if on_conflict == "skip":
         return target.unionByName(updates.join(keys_in_both(target, updates, key), key, "left_anti"))
     return target.join(updates.select(key), key, "left_anti").unionByName(updates)
@@ -60,22 +69,34 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
-def write_table(
-    df: DataFrame, existing: DataFrame | None = None, key: str = "sessionId", format: str = "jdbc", **options
-) -> None:
-    """Append one row per key through any Spark sink, JDBC where its driver is installed. Keys that ``existing``
-    already holds are left out row by row; the rest of the batch is written."""
-    new = df.dropDuplicates([key])
-    if existing is not None:
-        new = new.join(keys_in_both(existing, new, key), key, "left_anti")
-    new.write.format(format).options(**options).mode("append").save()
+def merge_statement(target: str, staging: str, columns: list[str], key: str = "sessionId") -> str:
+    """Standard SQL that replaces the rows of ``target`` that ``staging`` has anew, and adds the others."""
+    changes = ", ".join(f"{c} = s.{c}" for c in columns if c != key)
+    return (
+        f"MERGE INTO {target} t USING {staging} s ON t.{key} = s.{key} WHEN MATCHED THEN UPDATE SET {changes} "
+        f"WHEN NOT MATCHED THEN INSERT ({', '.join(columns)}) VALUES ({', '.join(f's.{c}' for c in columns)})"
+    )
 
 
-def compact_table(df: DataFrame, path: str, date_column: str = "startTime", sort: tuple = ("stationId", "startTime")):
-    """Rewrite a table partitioned by day and sorted inside files, so day and station filters skip data."""
+def compact_batches(spark: SparkSession, path: str, target: str, **options) -> None:
+    """The newest versions of a table written by batch, as a table partitioned by day at ``target``."""
+    versions = spark.read.parquet(path)
+    compact_table(last_per_key(versions, ["sessionId"], "batch_id").drop("batch_id"), target, **options)
+
+
+def compact_table(
+    df: DataFrame,
+    path: str,
+    date_column: str = "startTime",
+    sort: tuple = ("stationId", "startTime"),
+    files_per_day: int | None = None,
+):
+    """Rewrite a table partitioned by day and sorted inside files, so day and station filters skip data. A day has at
+    most ``files_per_day`` files, by default as many as the session has shuffle partitions."""
+    files = files_per_day or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     daily = df.withColumn("day", F.to_date(date_column))
     # A day spreads over several tasks by key, so one crowded day is no single task.
-    spread = daily.repartition("day", F.pmod(F.xxhash64("sessionId"), F.lit(16)))
+    spread = daily.repartition("day", F.pmod(F.xxhash64("sessionId"), F.lit(files)))
     spread.sortWithinPartitions("day", *sort).write.mode("overwrite").partitionBy("day").parquet(path)
 
 

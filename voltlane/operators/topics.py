@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlane import schemas as S
-from voltlane.functions.calls import iso_text
+from voltlane.functions.calls import call_elements, iso_text
 from voltlane.operators import blocks as B
 from voltlane.operators import pairing
 
@@ -15,7 +15,7 @@ def to_message_log(matched: DataFrame, recover_transaction_id: bool = False) ->
     paired = pairing.pairs(matched)
     fields = ["chargerId", "uniqueId", F.col("request").alias("message")]
     if recover_transaction_id:
-        is_start = F.col("request").contains(f'"{S.START}"')
+        is_start = F.get(call_elements(F.col("request")), F.lit(2)) == S.START
         assigned = F.when(is_start, pairing.response_transaction_id(F.col("response")))
         fields.append(assigned.alias("transactionId"))
     return paired.select(

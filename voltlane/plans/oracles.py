@@ -232,9 +232,11 @@ SELECT chargerId, kind, count(*) AS n FROM kinds GROUP BY chargerId, kind""",
     "unpaired_responses": f"WITH {_LINES} SELECT file, orphanId AS uniqueId, chargerId FROM orphans",
     "request_has_response": f"WITH {_LINES} SELECT uniqueId, event_id % 10 <> 0 AS hasResponse FROM m",
     "pairs_across_files": f"""WITH {_LINES}
-SELECT status, count(*) AS n FROM (
-  SELECT CASE WHEN event_id % 10 <> 0 THEN 'pair' ELSE 'unpaired_request' END AS status FROM m
-  UNION ALL SELECT 'unpaired_response' FROM orphans) GROUP BY status""",
+SELECT scope, status, count(*) AS n FROM (
+  SELECT 'global' AS scope, CASE WHEN event_id % 10 <> 0 THEN 'pair' ELSE 'unpaired_request' END AS status FROM m
+  UNION ALL SELECT 'file', 'unpaired_request' FROM m
+  UNION ALL SELECT 'file', 'unpaired_response' FROM answered
+  UNION ALL SELECT unnest(['global', 'file']), 'unpaired_response' FROM orphans) GROUP BY scope, status""",
     "ingest_counts": f"""WITH {_LINES}
 SELECT status, reason, count(*) AS n FROM (
   SELECT CASE WHEN event_id % 10 <> 0 THEN 'pair' ELSE 'unpaired_request' END AS status,
@@ -254,7 +256,8 @@ UNION ALL SELECT 'ocpp.malformed', NULL, NULL, line, reason FROM junk""",
     "decode_envelope": f'WITH {_T} SELECT topic, "offset", uniqueId, chargerId FROM typed',
     "decode_typed": f"WITH {_T} SELECT * FROM typed",
     "decode_strict_millis": f"""WITH {_M}
-SELECT action, count(*) AS n, CAST(0 AS BIGINT) AS timed FROM m GROUP BY action""",
+SELECT action, count(*) AS n, count(CASE WHEN event_id % 4 = 0 AND action <> 'Heartbeat' THEN 1 END) AS timed
+FROM m GROUP BY action""",
     "decode_literals": f"""WITH {_M}
 SELECT event_id AS "offset", uniqueId, action, 'it''s ' || user_id AS idTag,
   CAST(1 + user_id % 2 AS INTEGER) AS connectorId FROM m""",
@@ -413,7 +416,7 @@ FROM history""",
     "dq_energy": f"""WITH {_H}
 SELECT sessionId FROM history WHERE duration % 5 = 0 AND totalEnergyConsumed IS NOT NULL""",
     "dq_duration": f"WITH {_H} SELECT sessionId, duration + 2 AS duration FROM history WHERE duration % 5 = 0",
-    "dq_exclusive": f"WITH {_H} SELECT sessionId FROM history WHERE endTime IS NULL",
+    "dq_exclusive": f"WITH {_H} SELECT sessionId FROM history WHERE duration % 3 = 0",
     "dq_status": f"WITH {_H} SELECT sessionId, 'active' AS status FROM history WHERE duration % 5 = 0",
     "stream_history": f"WITH {_H} SELECT {_HISTORY_COLUMNS} FROM history",
     "stream_active": f"WITH {_CURRENT} SELECT {_STATE} FROM current",
@@ -426,3 +429,16 @@ SELECT sessionId, min(CASE WHEN part <= stopPart THEN eventTime END) AS startTim
 FROM c WHERE stopPart IS NOT NULL GROUP BY sessionId""",
     "stream_pairs": f"WITH {_LINES} SELECT uniqueId, chargerId FROM answered",
 }
+ALL |= {
+    "stream_dead_letters": ALL["dead_letter"],
+    "completed_from_mixed": ALL["completed_sessions"],
+    "status_from_mixed": ALL["status_rows"],
+    "number_kinds": f"""WITH {_M}
+SELECT event_id AS "offset", CASE WHEN event_id % 2 = 1 THEN event_id END AS meterStart FROM m
+WHERE action = 'StartTransaction'""",
+    "epochs_of_partitions": ALL["session_epochs"],
+    "recovered_in_quotes": ALL["recovered_transactions"],
+    "history_upsert_repeated": ALL["history_upsert"],
+    "history_by_day": ALL["energy_by_station"],
+    "history_plain": ALL["completed_sessions"],
+}

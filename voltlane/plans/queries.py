@@ -133,8 +133,14 @@ def request_has_response(spark, sf):
 
 
 def pairs_across_files(spark, sf):
-    matched = pairing.match_calls(_parsed(spark, sf), pair_scope="global")
-    return matched.groupBy("status").agg(F.count("*").alias("n"))
+    """Each request in another file than its response: pairs across files, and none within them."""
+    parsed = _parsed(spark, sf).withColumn("file", F.concat("file", F.lit("-"), "kind"))
+
+    def counted(scope):
+        matched = pairing.match_calls(parsed, pair_scope=scope)
+        return matched.groupBy(F.lit(scope).alias("scope"), "status").agg(F.count("*").alias("n"))
+
+    return counted("global").unionByName(counted("file"))
 
 
 def ingest_counts(spark, sf):
@@ -152,6 +158,19 @@ def recovered_transactions(spark, sf):
     return written.select("key", fields["transactionId"].alias("transactionId")).filter("transactionId is not null")
 
 
+def recovered_in_quotes(spark, sf):
+    """Requests in single quotes; other actions mention a start, and their responses carry an id too."""
+    matched = _matched(spark, sf)
+    request = F.replace("request", F.lit('"MeterValues",{'), F.lit('"MeterValues",{"about":"StartTransaction",'))
+    request = F.when(F.col("request").contains('"StartTransaction"'), F.replace("request", F.lit('"'), F.lit("'"))).otherwise(request)
+    response = F.replace("response", F.lit("{}"), F.lit('{"transactionId":"of another action"}'))
+    written = topics.to_message_log(
+        matched.withColumns({"request": request, "response": response}), recover_transaction_id=True
+    )
+    fields = F.from_json("value", S.ENVELOPE)
+    return written.select("key", fields["transactionId"].alias("transactionId")).filter("transactionId is not null")
+
+
 def dead_letter(spark, sf):
     letters = topics.to_dead_letter(pairing.outcomes(_parsed(spark, sf)))
     fields = "chargerId STRING, uniqueId STRING, line STRING, reason STRING"
@@ -175,7 +194,10 @@ def decode_typed(spark, sf):
 
 
 def decode_strict_millis(spark, sf):
-    typed = messages.decode_messages(_records(spark, sf), strict_millis=True)
+    """Every fourth call with three digits in its fractions, the others with six."""
+    short = F.regexp_replace("value", r"(\.\d{3})\d{3}(Z|\+05:30)", "$1$2")
+    records = _records(spark, sf).withColumn("value", F.when(F.col("offset") % 4 == 0, short).otherwise(F.col("value")))
+    typed = messages.decode_messages(records, strict_millis=True)
     return typed.groupBy("action").agg(F.count("*").alias("n"), F.count("eventTime").alias("timed"))
 
 
@@ -184,6 +206,36 @@ def decode_literals(spark, sf):
     return typed.select("offset", "uniqueId", "action", "idTag", "connectorId")
 
 
+def _mixed_records(spark, sf):
+    """The topic with every third call as a Python literal and every third with escapes in its action."""
+    message = F.col("v.message")
+    literal = F.regexp_replace(message, r'^(\[2,"[^"]*","[^"]*",)\{', '$1{"none": None, "ok": True, ')
+    escaped = message
+    for plain, spelt in (("Transaction", "Tr\\u0061nsaction"), ("Values", "V\\u0061lues"), ("StatusN", "St\\u0061tusN")):
+        escaped = F.replace(escaped, F.lit(plain + '",'), F.lit(spelt + '",'))
+        escaped = F.replace(escaped, F.lit('"' + plain), F.lit('"' + spelt))
+    by = F.when(F.col("offset") % 3 == 0, literal).when(F.col("offset") % 3 == 1, escaped).otherwise(message)
+    read = _records(spark, sf).withColumn("v", F.from_json("value", S.ENVELOPE))
+    return read.withColumn("value", F.to_json(F.struct("v.chargerId", "v.uniqueId", by.alias("message")))).drop("v")
+
+
+def completed_from_mixed(spark, sf):
+    return sessions.completed_sessions(jobs.typed_sessions(_mixed_records(spark, sf)))
+
+
+def status_from_mixed(spark, sf):
+    return messages.decode_status(_mixed_records(spark, sf))
+
+
+def number_kinds(spark, sf):
+    """Meter readings with a fraction: numbers lose it, texts are no whole numbers."""
+    odd = F.regexp_replace("value", r'(meterStart\\?":)(\d+)', "$1$2.7")
+    text = F.regexp_replace("value", r'(meterStart\\?":)(\d+)', '$1\\\\"$2.7\\\\"')
+    value = F.when(F.col("offset") % 2 == 0, text).otherwise(odd)
+    typed = messages.decode_messages(_records(spark, sf).withColumn("value", value))
+    return typed.filter(F.col("action") == S.START).select("offset", "meterStart")
+
+
 def session_messages(spark, sf):
     return _typed(spark, sf).select("offset", "sessionId", "action", "isStop")
 
@@ -241,6 +293,17 @@ def session_epochs(spark, sf):
     return rows.select("offset", "sessionId", "epoch")
 
 
+def epochs_of_partitions(spark, sf):
+    """The topic as a file with two partitions, whose offsets overlap."""
+    folder = scratch_folder(spark, "partitions")
+    split = {"partition": (F.col("offset") % 2).cast("int"), "offset": F.expr("offset div 2")}
+    _records(spark, sf).withColumns(split).write.parquet(folder)
+    typed = jobs.typed_sessions(messages.read_messages_batch(spark, folder, "parquet"))
+    rows = epochs.with_epoch(typed, ["chargerId", "transactionId"], F.col("isStop"))
+    n = messages.PARTITIONS
+    return rows.select(F.expr(f"offset div {n} * 2 + offset % {n}").alias("offset"), "sessionId", "epoch")
+
+
 def first_event_time(spark, sf):
     rows = running.with_first_event_time(_typed(spark, sf), rows_per_block=1000)
     return rows.select("offset", "sessionStart", "startSessionId")
@@ -255,7 +318,10 @@ def running_state_replay(spark, sf):
 
 
 def running_state_by_time(spark, sf):
-    return running.running_state_replay(_typed(spark, sf), order="event_time")
+    """Messages arrive backwards within groups of eight."""
+    turned = F.expr("offset div 8 * 8 + 7 - offset % 8")
+    typed = _typed(spark, sf).withColumn("offset", turned)
+    return running.running_state_replay(typed, order="event_time").withColumn("offset", turned)
 
 
 def distinct_sessions(spark, sf):
@@ -345,11 +411,11 @@ def all_chargers(spark, sf):
 
 
 def all_actions(spark, sf):
-    return views.all_actions(messages.decode_payloads(_records(spark, sf)))
+    return views.all_actions(messages.decode_calls(_records(spark, sf)))
 
 
 def charger_payloads(spark, sf):
-    rows = views.charger_payloads(messages.decode_payloads(_records(spark, sf)), "charger6")
+    rows = views.charger_payloads(messages.decode_calls(_records(spark, sf)), "charger6")
     return rows.select("uniqueId", "action", F.get_json_object("payload", "$.transactionId").alias("transactionId"))
 
 
@@ -361,9 +427,19 @@ def newest_sessions(spark, sf):
     return views.newest_sessions(_history(spark, sf), 10)
 
 
+def _live_and_stopped(typed):
+    """Live state that still holds every third of the completed sessions."""
+    done = sessions.completed_sessions(typed).filter(F.col("duration") % 3 == 0)
+    stale = done.withColumns(
+        {"status": F.lit("active"), "energyConsumedSoFar": F.lit(-1.0), "runningCount": F.lit(-1).cast("long")}
+    )
+    live = running.running_state(typed)
+    return live.unionByName(stale.select(*live.columns))
+
+
 def active_history_bridge(spark, sf):
     typed = _typed_table(spark, sf)
-    return views.bridge(running.running_state(typed), sessions.completed_sessions(typed))
+    return views.bridge(_live_and_stopped(typed), sessions.completed_sessions(typed))
 
 
 # Table maintenance
@@ -381,6 +457,30 @@ def history_upsert(spark, sf):
     return tables.upsert(done, _corrections(done)).select("sessionId", "terminationReason", "eventCount")
 
 
+def history_upsert_repeated(spark, sf):
+    """Every update twice; the one of the higher reason counts."""
+    done = _history_table(spark, sf)
+    updates = _corrections(done)
+    both = updates.unionByName(updates.withColumn("terminationReason", F.lit("a draft")))
+    return tables.upsert(done, both, order="terminationReason").select("sessionId", "terminationReason", "eventCount")
+
+
+def history_by_day(spark, sf):
+    """Two batches, the second with corrections, compacted by day and read again through a view of some days."""
+    done = _history_table(spark, sf)
+    path, daily = scratch_folder(spark, "history"), scratch_folder(spark, "daily")
+    tables.write_batch(done.withColumn("totalEnergyConsumed", F.lit(0.0)), path, 0)
+    tables.write_batch(done, path, 1)
+    tables.compact_batches(spark, path, daily)
+    return views.energy_by_station(history.read_history(spark, daily), _as_of(), 14)
+
+
+def history_plain(spark, sf):
+    folder = scratch_folder(spark, "plain")
+    _history(spark, sf).write.parquet(folder)
+    return history.read_history(spark, folder)
+
+
 def history_upsert_skip(spark, sf):
     done = _history_table(spark, sf)
     return tables.upsert(done, _corrections(done), on_conflict="skip").select("sessionId", "terminationReason")
@@ -452,7 +552,7 @@ def dq_duration(spark, sf):
 
 def dq_exclusive(spark, sf):
     typed = _typed_table(spark, sf)
-    return quality.active_and_completed(running.running_state(typed), sessions.completed_sessions(typed))
+    return quality.active_and_completed(_live_and_stopped(typed), sessions.completed_sessions(typed))
 
 
 def dq_status(spark, sf):
@@ -506,17 +606,38 @@ def stream_lifecycle(spark, sf):
     return done.join(late, "sessionId", "left").withColumn("late", F.coalesce("late", F.lit(0)))
 
 
-def stream_pairs(spark, sf):
-    """Requests and responses matched on a stream; the arrival time of a line is that of its event."""
-    folder, out = scratch_folder(spark, "lines"), scratch_folder(spark, "pairs")
+def _ingested(spark, sf) -> str:
+    """The log as a stream to both topics; the arrival time of a line is that of its event, and a last line much later
+    lets all the others out."""
+    folder, out = scratch_folder(spark, "lines"), scratch_folder(spark, "ingest")
     source = logs.content_lines(events.event_lines(_events(spark, sf)))
     arrival = F.timestamp_seconds(F.lit(1704067200) + F.expr("ord div 8"))
-    source.select("line", arrival.alias("arrival")).write.parquet(folder)
-    live = spark.readStream.schema("line STRING, arrival TIMESTAMP").parquet(folder)
-    matched = live_pairing.match_stream(lines.parse_lines(live))
-    writer = matched.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out).filter(F.col("status") == pairing.PAIR).select("uniqueId", "chargerId")
+    rows = source.select("file", "ord", "line", arrival.alias("arrival"))
+    rows.write.parquet(folder)
+    last = rows.agg(F.max("arrival").alias("arrival")).select(
+        F.lit("last").alias("file"),
+        F.lit(0).cast("long").alias("ord"),
+        F.lit('clock : [2,"last","Heartbeat",{}]').alias("line"),
+        (F.col("arrival") + F.expr("INTERVAL 1 DAY")).alias("arrival"),
+    )
+    last.write.mode("append").parquet(folder)
+    live = spark.readStream.schema(rows.schema).parquet(folder)
+    sinks = {name: lambda df, i, name=name: tables.write_batch(df, f"{out}/{name}", i) for name in ("messages", "dead")}
+    parsed = lines.parse_lines(live)
+    live_pairing.start_ingest(parsed, sinks, out + "-checkpoint", availableNow=True).awaitTermination()
+    return out
+
+
+def stream_pairs(spark, sf):
+    """Requests and responses matched on a stream."""
+    written = spark.read.parquet(_ingested(spark, sf) + "/messages")
+    return written.select(F.col("key").alias("uniqueId"), F.get_json_object("value", "$.chargerId").alias("chargerId"))
+
+
+def stream_dead_letters(spark, sf):
+    letters = spark.read.parquet(_ingested(spark, sf) + "/dead")
+    fields = "chargerId STRING, uniqueId STRING, line STRING, reason STRING"
+    return letters.select("topic", F.from_json("value", fields).alias("v")).select("topic", "v.*")
 
 
 ALL = [
@@ -533,7 +654,8 @@ ALL = [
     active_history_bridge, history_upsert, history_upsert_skip, history_update, history_delete,
     history_defaults, history_written, history_exported, charger_session_table, dq_required, dq_meter,
     dq_energy, dq_duration, dq_exclusive, dq_status, stream_history, stream_active, stream_lifecycle,
-    stream_pairs,
+    stream_pairs, stream_dead_letters, completed_from_mixed, status_from_mixed, number_kinds, epochs_of_partitions,
+    recovered_in_quotes, history_upsert_repeated, history_by_day, history_plain,
 ]
 
 

@@ -75,9 +75,9 @@ def station_health(status_rows: DataFrame) -> DataFrame:
 
 def last_heartbeat(parsed: DataFrame) -> DataFrame:
     """Latest heartbeat time per charger, as its response reports it."""
-    beats = parsed.filter((F.col("kind") == "response") & F.col("message").contains("currentTime"))
     stamp = F.get_json_object("message", "$[2].currentTime").try_cast("timestamp")
-    return beats.groupBy("chargerId").agg(F.max(stamp).alias("lastHeartbeat"))
+    beats = parsed.filter(F.col("kind") == "response").select("chargerId", stamp.alias("at"))
+    return beats.filter(F.col("at").isNotNull()).groupBy("chargerId").agg(F.max("at").alias("lastHeartbeat"))
 
 
 def all_chargers(messages: DataFrame) -> DataFrame:

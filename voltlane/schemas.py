@@ -46,16 +46,19 @@ ENVELOPE = "chargerId STRING, uniqueId STRING, message STRING, transactionId STR
 SAMPLE = "value: STRING, measurand: STRING, unit: STRING"
 FULL_SAMPLE = "value: STRING, context: STRING, format: STRING, measurand: STRING, location: STRING, unit: STRING"
 
-# Scalars are read as text and cast afterwards, so a badly typed field is null and spoils no other field.
+# Scalars are read as text and cast afterwards, so a badly typed field is null and spoils no other field. Whole numbers
+# are read as variants first, which tell a JSON number from a string.
+NUMBERS = ["meterStart", "meterStop", "connectorId"]
 _PAYLOAD = (
-    "transactionId STRING, timestamp STRING, meterStart STRING, meterStop STRING, idTag STRING, "
-    "connectorId STRING, reason STRING, status STRING, errorCode STRING, vendorErrorCode STRING, "
+    "transactionId STRING, timestamp STRING, meterStart VARIANT, meterStop VARIANT, idTag STRING, "
+    "connectorId VARIANT, reason STRING, status STRING, errorCode STRING, vendorErrorCode STRING, "
     "currentTime STRING, meterValue ARRAY<STRUCT<timestamp: STRING, sampledValue: ARRAY<STRUCT<{}>>>>"
 )
 PAYLOAD = _PAYLOAD.format(SAMPLE)
 FULL_PAYLOAD = _PAYLOAD.format(FULL_SAMPLE)
 
 MESSAGE_LOG = "topic STRING, key STRING, value STRING, offset BIGINT, timestamp TIMESTAMP"
+PARTITIONED_LOG = MESSAGE_LOG + ", partition INT"
 
 HISTORY = (
     "sessionId STRING, stationId STRING, transactionId STRING, status STRING, startTime TIMESTAMP, "

@@ -6,16 +6,35 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: list[str] = []
+
 
 @cache
-def _test_root() -> str:
+def _local_root() -> str:
     return tempfile.mkdtemp(prefix="voltlane-")
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name under spark.checkpoint.dir; a local one only where the session names none, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _test_root()
-    return f"{root.rstrip('/')}/voltlane-{label}-{uuid.uuid4().hex}"
+    """A new folder name under spark.checkpoint.dir. Only a session in one process may name none, as in tests: on a
+    cluster, executors would write to and read from different disks."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _local_root()
+    _MADE.append(f"{root.rstrip('/')}/voltlane-{label}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the folders that this process has made, once no DataFrame that reads them is used any more; their
+    number."""
+    jvm, n = spark.sparkContext._jvm, len(_MADE)
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -160,8 +160,5 @@ def event_lines(events: DataFrame) -> DataFrame:
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The table. Each row becomes a long text that is parsed again, so a table of fewer splits than cores is
-    spread over them; one of many splits is read as it is."""
-    table = spark.read.parquet(f"{folder.rstrip('/')}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, "event_id")
+    """The table, spread over the session's shuffle partitions: each row becomes a long text that is parsed again."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/events.parquet").repartition("event_id")

@@ -8,30 +8,39 @@ from voltlane.functions import calls as C
 from voltlane.functions.literals import literal_to_json
 
 
-def _arrival(records: DataFrame, partitions: int) -> DataFrame:
-    """Offsets made unique across the partitions of a topic; they still rise within each."""
-    return records.withColumn("offset", F.col("offset") * partitions + F.col("partition"))
+# More partitions than a topic has.
+PARTITIONS = 4096
+
+
+def _arrival(records: DataFrame) -> DataFrame:
+    """Offsets made unique across the partitions of a topic; they still rise within each, and a key has one. Records
+    without a partition keep their offset."""
+    too_many = F.raise_error(F.concat(F.lit("partition out of range: "), F.col("partition").cast("string")))
+    packed = F.col("offset") * PARTITIONS + F.when(F.col("partition") < PARTITIONS, F.col("partition")).otherwise(too_many)
+    return records.withColumn("offset", F.when(F.col("partition").isNull(), F.col("offset")).otherwise(packed)).drop(
+        "partition"
+    )
 
 
 def read_messages_stream(
-    spark: SparkSession, path: str | None = None, format: str = "kafka", partitions: int = 1, **options
+    spark: SparkSession, path: str | None = None, format: str = "kafka", **options
 ) -> DataFrame:
-    """Stream of topic, key, value, offset, timestamp, from the earliest record on. ``partitions`` is the number of
-    partitions of a Kafka topic."""
+    """Stream of topic, key, value, offset, timestamp, from the earliest record on. Files may name the partition of a
+    record, as Kafka does."""
     if format == "kafka":
         defaults = {"subscribe": S.MESSAGES_TOPIC, "startingOffsets": "earliest", "failOnDataLoss": "false"}
-        return _arrival(spark.readStream.format("kafka").options(**{**defaults, **options}).load(), partitions)
-    return spark.readStream.format(format).schema(S.MESSAGE_LOG).options(**options).load(path)
+        return _arrival(spark.readStream.format("kafka").options(**{**defaults, **options}).load())
+    return _arrival(spark.readStream.format(format).schema(S.PARTITIONED_LOG).options(**options).load(path))
 
 
 def read_messages_batch(
-    spark: SparkSession, path: str | None = None, format: str = "kafka", partitions: int = 1, **options
+    spark: SparkSession, path: str | None = None, format: str = "kafka", **options
 ) -> DataFrame:
     """All records of the topic at once, earliest to latest."""
     if format == "kafka":
         defaults = {"subscribe": S.MESSAGES_TOPIC, "startingOffsets": "earliest", "endingOffsets": "latest"}
-        return _arrival(spark.read.format("kafka").options(**{**defaults, **options}).load(), partitions)
-    return spark.read.format(format).schema(S.MESSAGE_LOG).options(**options).load(path)
+        return _arrival(spark.read.format("kafka").options(**{**defaults, **options}).load())
+    return _arrival(spark.read.format(format).schema(S.PARTITIONED_LOG).options(**options).load(path))
 
 
 def decode_envelope(records: DataFrame) -> DataFrame:
@@ -48,29 +57,38 @@ def decode_envelope(records: DataFrame) -> DataFrame:
     )
 
 
-def decode_payloads(
-    records: DataFrame, python_literals: bool = False, session_only: bool = False, contract: str = S.PAYLOAD
-) -> DataFrame:
-    """Records to one row per decodable call: header columns, payload fields as text, meterValue as an array.
+def decode_calls(records: DataFrame, python_literals: bool = True, session_only: bool = False) -> DataFrame:
+    """Records to one row per decodable call: header columns and the payload as text, not parsed.
 
-    Calls of fewer than three elements are dropped. ``python_literals`` also reads calls stored as Python
-    literals with True, False or None in them. ``session_only`` keeps the four session actions."""
+    Calls of fewer than three elements are dropped. Calls stored as Python literals, with True, False or None in them,
+    are read too; ``python_literals=False`` drops them. ``session_only`` keeps the four session actions."""
     calls = decode_envelope(records)
     if session_only:
-        # Cheap test before any JSON parse; a call that spells its action with \u escapes stays in.
+        # Cheap test before any JSON parse. An action may also be spelt with escapes or, in a Python literal, in
+        # adjacent pieces; such texts stay in and are parsed.
         text = F.col("message")
-        calls = calls.filter(text.contains("MeterValues") | text.contains("Transaction") | text.contains("\\u"))
+        spelt = text.rlike(r"""[\\#]|["']\s*["']""")
+        calls = calls.filter(text.contains("MeterValues") | text.contains("Transaction") | spelt)
     calls = C.evaluate_once(calls, call=C.call_elements(F.col("message")))
     if python_literals:
         text = literal_to_json(F.when(F.col("call").isNull(), F.col("message")))
         calls = calls.withColumn("literal", text)
-        calls = calls.withColumn("call", F.coalesce("call", C.call_elements(F.col("literal")))).drop("literal")
+        read = F.coalesce("call", C.call_elements(F.col("literal")))
+        calls = C.evaluate_once(calls, read=read).drop("call", "literal").withColumnRenamed("read", "call")
     calls = calls.filter(F.size("call") >= 3).withColumn("action", F.get("call", F.lit(2)))
     if session_only:
         calls = calls.filter(F.col("action").isin(S.SESSION_ACTIONS))
     body = F.coalesce(F.get("call", F.lit(3)), F.lit("{}"))
-    calls = calls.withColumn("payload", body).drop("call")
+    return calls.withColumn("payload", body).drop("call")
+
+
+def decode_payloads(
+    records: DataFrame, python_literals: bool = True, session_only: bool = False, contract: str = S.PAYLOAD
+) -> DataFrame:
+    """The rows of ``decode_calls`` with the payload's fields as text and meterValue as an array."""
+    calls = decode_calls(records, python_literals, session_only)
     decoded = calls.select("*", F.inline(F.array(C.payload_struct(F.col("payload"), contract))))
+    decoded = decoded.withColumns({c: C.number_text(F.col(c)) for c in S.NUMBERS})
     return decoded.withColumn("transactionId", F.coalesce("transactionId", "suppliedTransactionId")).drop(
         "suppliedTransactionId"
     )
@@ -80,7 +98,7 @@ def decode_messages(
     records: DataFrame,
     soc_measurands: list[str] = S.SOC_MEASURANDS,
     strict_millis: bool = False,
-    python_literals: bool = False,
+    python_literals: bool = True,
     normalize_units: bool = False,
     session_only: bool = False,
 ) -> DataFrame:
@@ -117,7 +135,7 @@ def decode_messages(
 
 def decode_status(records: DataFrame) -> DataFrame:
     """StatusNotification calls as columns."""
-    calls = decode_payloads(records.filter(F.col("value").cast("string").contains(S.STATUS)))
+    calls = decode_payloads(records)
     stamp = C.event_time(C.utc_text(F.col("timestamp")))
     return calls.filter(F.col("action") == S.STATUS).select(
         "chargerId",

@@ -1,6 +1,6 @@
 """The live job: message stream to live log, live state, history and tombstones."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlane import schemas as S
@@ -9,6 +9,8 @@ from voltlane.operators import running, sessions, tables, topics
 from voltlane.operators.sessions import GROUP
 from voltlane.streaming import lifecycle
 
+# How long a continuous run remembers closed sessions, and sessions that fall silent.
+CLOSED_MS, IDLE_MS = 24 * 3600 * 1000, 7 * 24 * 3600 * 1000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -20,7 +22,7 @@ def use_rocksdb(spark) -> None:
 
 def session_stream(messages: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Aggregates per session over a stream, for update mode. The keys hold no time column, so the watermark
-    neither drops late rows nor evicts state; run_lifecycle bounds its state instead."""
+    neither drops late rows nor evicts state; start_lifecycle bounds its state instead."""
     aggregates = sessions.session_aggregates() + [
         F.max("eventTime").alias("latest"),
         F.max("isStop").alias("stopped"),
@@ -45,12 +47,13 @@ def tombstones(stopped: DataFrame) -> DataFrame:
 def file_sinks(out: str) -> dict:
     """Live topics, late messages and history as Parquet folders under ``out``, one sub-folder per batch."""
     write = lambda name: lambda df, batch_id: tables.write_batch(df, f"{out}/{name}", batch_id)
-    return {"live": write("live"), "history": write("history"), "late": write("late")}
+    live = {"live": write("live/kind=records"), "tombstones": write("live/kind=tombstones")}
+    return live | {name: write(name) for name in ("history", "late", "expired")}
 
 
 def kafka_sink(**options):
-    """Sink for ``live``: each record goes to the topic it names. A repeated batch repeats records, which
-    compaction folds away."""
+    """Sink for ``live`` and ``tombstones``: each record goes to the topic it names. A repeated batch repeats records,
+    which compaction folds away."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         df.select("topic", "key", "value").write.format("kafka").options(**options).save()
@@ -58,13 +61,30 @@ def kafka_sink(**options):
     return write
 
 
-def table_sink(key: str = "sessionId", **options):
-    """Sink for ``history`` in a keyed table, such as JDBC: sessions the table already has are left out."""
+def merge_sink(merge, key: str = "sessionId", order: str | Column | None = None, format: str = "jdbc", **staging):
+    """Sink for ``history`` in a keyed table that replaces the sessions it knows and adds the others.
+
+    The batch, with one row per key, overwrites a staging table (any Spark sink, its place in ``staging``); then
+    ``merge(spark, batch_id)`` brings it into the target, for instance by running ``tables.merge_statement`` in the
+    database. Spark reads neither table back, and a repeated batch changes nothing."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        rest = [c for c in df.columns if c != key]
+        newest = tables.last_per_key(df, [key], F.struct(*rest) if order is None else order)
+        newest.write.format(format).options(**staging).mode("overwrite").save()
+        merge(df.sparkSession, batch_id)
+
+    return write
+
+
+def catalog_sink(table: str, key: str = "sessionId", order: str | Column | None = None):
+    """Sink for ``history`` in a catalog table whose format takes row-level changes: a merge by key in one step."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        reading = {k: v for k, v in options.items() if k != "format"}
-        existing = df.sparkSession.read.format(options.get("format", "jdbc")).options(**reading).load()
-        tables.write_table(df, existing, key, **options)
+        rest = [c for c in df.columns if c != key]
+        newest = tables.last_per_key(df, [key], F.struct(*rest) if order is None else order).alias("s")
+        same = F.expr(f"{table}.{key} = s.{key}")
+        newest.mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
     return write
 
@@ -87,8 +107,10 @@ def start_sessions(messages: DataFrame, sinks: dict, checkpoint: str, **trigger)
         batch = batch.persist()
         try:
             stopped = batch.filter(F.col("stopped"))
-            sinks["live"](live_state(batch).unionByName(tombstones(stopped)), batch_id)
+            sinks["live"](live_state(batch), batch_id)
             sinks["history"](sessions.session_metrics(batch), batch_id)
+            # Last, and only once the rest is written.
+            sinks["tombstones"](tombstones(stopped), batch_id)
         finally:
             batch.unpersist()
 
@@ -106,8 +128,11 @@ def start_lifecycle(
 ):
     """Live log, live state, history and tombstones from one stream whose state is dropped after the stop.
 
-    One query writes all of them, and a batch's log before its tombstones, so no live record can follow the
-    tombstone of its session. Messages after the stop go to ``late``."""
+    One query writes all of them, and a batch's tombstones in a write of their own after all the rest, so no live
+    record can follow the tombstone of its session. Messages after the stop go to ``late``, sessions that never stop
+    to ``expired``. A run that goes on bounds its state: ``closed_ms`` is a day and ``idle_ms`` a week unless given."""
+    if not trigger.get("availableNow") and not trigger.get("once"):
+        closed_ms, idle_ms = closed_ms or CLOSED_MS, idle_ms or IDLE_MS
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -119,9 +144,12 @@ def start_lifecycle(
             raw = batch.filter("kind = 'raw'").select(*record)
             changes = live_state(state.withColumn("stopped", F.col("kind") != "state"))
             gone = tombstones(state.filter("kind <> 'state'"))
-            sinks["live"](raw.unionByName(changes).unionByName(gone), batch_id)
+            sinks["live"](raw.unionByName(changes), batch_id)
             sinks["history"](sessions.session_metrics(state.filter("kind = 'closed'")), batch_id)
             sinks["late"](batch.filter("kind = 'late'").select(*record), batch_id)
+            expired = state.filter("kind = 'expired'").select("sessionId", "chargerId", "transactionId", "session.*")
+            sinks["expired"](expired, batch_id)
+            sinks["tombstones"](gone, batch_id)
         finally:
             batch.unpersist()
 

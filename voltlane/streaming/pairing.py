@@ -3,43 +3,64 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltlane.operators import pairing
-
-
-def match_stream(parsed: DataFrame, wait: str = "10 minutes", salts: int = 8) -> DataFrame:
-    """Pairs as soon as both calls are there; lone calls once ``wait`` has passed without a partner.
-
-    ``parsed`` has an ``arrival`` timestamp. Each side keeps one call per id inside the watermark, so a
-    repeated id cannot multiply rows in the join. A first, salted step leaves at most ``salts`` calls of an id, so
-    an id that fills the log is not one task's work; 1 leaves the step out."""
-
-    def side(kind, prefix):
-        calls = parsed.filter(F.col("kind") == kind).withWatermark("arrival", wait)
-        if salts > 1:
-            calls = calls.withColumn("salt", F.pmod(F.xxhash64("message", "arrival"), F.lit(salts)))
-            calls = calls.dropDuplicatesWithinWatermark(["uniqueId", "salt"])
-        calls = calls.dropDuplicatesWithinWatermark(["uniqueId"])
-        return calls.select(
-            F.col("uniqueId").alias(f"{prefix}Id"),
-            F.col("chargerId").alias(f"{prefix}Charger"),
-            F.col("message").alias(prefix),
-            F.col("arrival").alias(f"{prefix}Arrival"),
-        )
-
-    near = F.expr(
-        f"requestId = responseId AND responseArrival BETWEEN requestArrival - INTERVAL {wait} "
-        f"AND requestArrival + INTERVAL {wait}"
+from voltlane import schemas as S
+from voltlane.operators import pairing, topics
+
+
+def match_stream(parsed: DataFrame, wait: str = "10 minutes", pair_scope: str = "file") -> DataFrame:
+    """The columns of ``pairing.outcomes`` over a stream: pairs, lone calls and rejected lines.
+
+    ``parsed`` has an ``arrival`` timestamp. Calls of one id that follow each other within ``wait`` belong together; of
+    repeated requests or responses the last one counts, as in a batch. So an id comes out once ``wait`` has passed
+    without another call of it. It is one grouped aggregation over session windows, in append mode; Spark merges the
+    calls of an id on the map side first (see ``use_local_merge``). Rejected lines come out at once. ``pair_scope`` is
+    ``file`` or ``global``, as in a batch; a stream without a ``file`` column has one scope."""
+    keys = ["file", "uniqueId"] if pair_scope == "file" and "file" in parsed.columns else ["uniqueId"]
+    order = F.struct("arrival", *[c for c in ("file", "ord") if c in parsed.columns], "message")
+    calls = parsed.filter(F.col("kind") != "reject").withWatermark("arrival", wait)
+
+    def last(kind):
+        is_kind = F.col("kind") == kind
+        return F.max_by(F.when(is_kind, F.struct("chargerId", "message")), F.when(is_kind, order))
+
+    matched = calls.groupBy(*keys, F.session_window("arrival", wait)).agg(
+        last("request").alias("req"), last("response").alias("resp")
     )
-    both = side("request", "request").join(side("response", "response"), near, "full_outer")
-    status = (
-        F.when(F.col("requestId").isNotNull() & F.col("responseId").isNotNull(), pairing.PAIR)
-        .when(F.col("requestId").isNotNull(), pairing.LONE_REQUEST)
-        .otherwise(pairing.LONE_RESPONSE)
+    status = pairing.status_of(F.col("req"), F.col("resp"))
+    lone = F.when(status == pairing.LONE_REQUEST, S.UNPAIRED_REQUEST).when(
+        status == pairing.LONE_RESPONSE, S.UNPAIRED_RESPONSE
     )
-    return both.select(
-        F.coalesce("requestId", "responseId").alias("uniqueId"),
-        F.coalesce("requestCharger", "responseCharger").alias("chargerId"),
-        "request",
-        "response",
+    matched = matched.select(
+        "uniqueId",
+        F.coalesce("req.chargerId", "resp.chargerId").alias("chargerId"),
+        F.col("req.message").alias("request"),
+        F.col("resp.message").alias("response"),
+        F.lit(None).cast("string").alias("line"),
         status.alias("status"),
+        lone.alias("reason"),
     )
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("uniqueId", "chargerId", "request", "response")]
+    rejected = parsed.filter(F.col("kind") == "reject")
+    return matched.unionByName(rejected.select(*nothing, "line", F.lit(pairing.REJECT).alias("status"), "reason"))
+
+
+def use_local_merge(spark) -> None:
+    """Merge the calls of an id inside each task before the shuffle, so an id that fills the log is no single task."""
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+
+
+def start_ingest(parsed: DataFrame, sinks: dict, checkpoint: str, wait: str = "10 minutes", pair_scope="file", **trigger):
+    """A live log to the message topic and the dead-letter topic. ``sinks`` has ``messages`` and ``dead``, functions of
+    a DataFrame of topic, key and value and the number of the batch."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            sinks["messages"](topics.to_message_log(batch), batch_id)
+            sinks["dead"](topics.to_dead_letter(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    use_local_merge(parsed.sparkSession)
+    writer = match_stream(parsed, wait, pair_scope).writeStream.outputMode("append").foreachBatch(sink)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
