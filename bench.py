@@ -21,7 +21,7 @@ from voltlane.sources import events, logs, messages  # noqa: E402
 from voltlane.streaming import job  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-CPUS = int(os.environ.get("BENCH_CPUS", "8"))
+CPUS = int(os.environ.get("BENCH_CPUS", "4"))
 
 
 def session():
@@ -30,7 +30,7 @@ def session():
         .appName("bench")
         .config("spark.sql.shuffle.partitions", str(CPUS))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "7g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
@@ -60,13 +60,11 @@ def main():
     typed = lambda: spark.read.parquet(folders["typed"])
     live = lambda: spark.read.parquet(folders["live"])
 
-    def stream():
+    def stream(start):
         out = scratch_folder(spark, "stream")
         source = messages.read_messages_stream(spark, folders["topic"], "parquet")
         job.use_rocksdb(spark)
-        started = job.start_sessions(
-            jobs.typed_sessions(source), job.file_sinks(out), out + "/checkpoint", availableNow=True
-        )
+        started = start(jobs.typed_sessions(source), job.file_sinks(out), out + "/checkpoint", availableNow=True)
         started.awaitTermination()
 
     timed = {
@@ -76,12 +74,13 @@ def main():
         "completed_sessions": lambda: jobs.completed_from_log(topic()),
         "completed_from_typed": lambda: sessions.completed_sessions(typed()),
         "running_state": lambda: running.running_state(jobs.typed_sessions(topic())),
-        "running_state_replay": lambda: running.running_state_replay(typed(), stage=False),
+        "running_state_replay": lambda: running.running_state_replay(typed()),
         "track_sessions": lambda: tracker.track_sessions(messages.decode_payloads(topic())),
         "compacted_view": lambda: topics.compacted_view(live()),
         "raw_after_tombstone": lambda: topics.after_last_tombstone(live()),
         "sessions_by_day_station": lambda: views.sessions_by(sessions.completed_sessions(typed())),
-        "stream_sessions": stream,
+        "stream_sessions": lambda: stream(job.start_sessions),
+        "stream_lifecycle": lambda: stream(job.start_lifecycle),
     }
     seconds = {}
     for name, run in timed.items():
