@@ -2,7 +2,10 @@ import hashlib
 import random
 import re
 
+import duckdb
+import pandas
 from messy import docs, no_docs
+from oracle import connect, spark_rows, sql_rows
 
 from voltlane.llm import secrets
 
@@ -85,6 +88,18 @@ def test_weak_parts_alone_are_not_reported():
     assert secrets.scan(alone) == [[], [], []]
 
 
+def test_sql_finds_the_same(spark):
+    texts = made_texts() + [None, "", "x"]
+    table = pandas.DataFrame({"doc_id": range(len(texts)), "text": pandas.Series(texts, dtype=object)})
+    con = duckdb.connect()
+    con.register("documents", table)
+    got = {r[0]: r[5] for r in con.execute(secrets.SQL).fetchall()}
+    for k, spans in enumerate(secrets.scan([t or "" for t in texts])):
+        assert got[k] == ",".join(f"{secrets.KINDS[i]}:{a}:{b}" for a, i, b in spans)
+    folder = "/root/testdata/sf0.001"
+    assert spark_rows(secrets.op2(spark, folder)) == sql_rows(connect(folder), secrets.SQL)
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}

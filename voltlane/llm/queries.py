@@ -25,4 +25,4 @@ QUERIES = {
     "op9_source_mix": mixing.op9,
     "op10_ngram_join": ngram_join.op10,
 }
-SQL: dict[str, str] = {"op3_url_filter": url_filter.SQL}
+SQL: dict[str, str] = {"op2_secret_scan": secrets.SQL, "op3_url_filter": url_filter.SQL}

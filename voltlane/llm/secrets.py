@@ -35,13 +35,13 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST = 6
 # Weak parts.
 IDENT = re.compile(
-    r"""(?<![A-Za-z0-9_])(?ai:access_?key_?id|client_?id|account_?id|user_?name|user|login)["']?\x20*[:=]\x20*"""
+    r"""\b(?ai:access_?key_?id|client_?id|account_?id|user_?name|user|login)["']?\x20*[:=]\x20*"""
     r"""["']?([A-Za-z0-9._@+-]{3,})""",
     re.ASCII,
 )
 BARE = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 ENDPOINT = re.compile(
-    r"""(?<![A-Za-z0-9_])(?:(?ai:https?|ftp|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[^\s"'<>]+"""
+    r"""\b(?:(?ai:https?|ftp|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[^\x09-\x0D\x20"'<>]+"""
     r"""|(?ai:host|hostname|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::[0-9]+)?)""",
     re.ASCII,
 )
@@ -177,3 +177,81 @@ def op2(spark, sf_dir: str) -> DataFrame:
         joined(F.col("secrets")).alias("spans"),
         F.size(of(*KINDS[3:])).cast("long").alias("n_linked"),
     )
+
+
+# The same as SQL. Case is spelt out, as the engine's own folding knows letters beyond ASCII.
+
+
+def _either(words: str) -> str:
+    """A pattern whose letters match in either case."""
+    out, inside = [], False
+    for c in words:
+        inside = c == "[" or (inside and c != "]")
+        out.append(f"[{c}{c.upper()}]" if c.isalpha() and not inside else c)
+    return "".join(out).replace("[a-z]", "[a-zA-Z]")
+
+
+_VALUE = """["'']?\\x20*[:=]\\x20*["'']?"""
+_PATTERNS = {
+    "assign": f"({_either('password|passwd|secret|token|api_?key')}){_VALUE}([A-Za-z0-9+/_.=-]+)",
+    "access": "AKIA[A-Z0-9]{16,}",
+    "hex": "[0-9a-f]{24,}",
+    "ident": f"\\b(?:{_either('access_?key_?id|client_?id|account_?id|user_?name|user|login')}){_VALUE}[A-Za-z0-9._@+-]{{3,}}",
+    "bare": "[A-Za-z0-9+/_-]{32,}={0,2}",
+    "endpoint": f"\\b(?:(?:{_either('https?|ftp|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp')})://"
+    """[^\\x09-\\x0D\\x20"''<>]+"""
+    f"|(?:{_either('host|hostname|endpoint|server')}){_VALUE}[A-Za-z0-9.-]+(?::[0-9]+)?)",
+    "blank": r"\n[ \t\r]*\n",
+}
+
+
+def _found(kind: str) -> str:
+    """Matches with their places: a match starts behind all pieces up to it and all matches before it."""
+    p = _PATTERNS[kind]
+    return f"""
+SELECT doc_id, '{kind}' AS kind, a, a + length(m) AS b, m, n_chars FROM (
+  SELECT doc_id, n_chars, unnest([list_sum([length(x) FOR x IN pieces[1:i]]) + coalesce(list_sum([length(x) FOR x IN ms[1:i - 1]]), 0)
+      FOR i IN range(1, len(ms) + 1)]) AS a, unnest(ms) AS m
+  FROM (SELECT doc_id, length(t) AS n_chars, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS pieces
+        FROM d) WHERE len(ms) > 0)"""
+
+
+SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+raw AS MATERIALIZED ({" UNION ALL ".join(map(_found, _PATTERNS))}),
+strong AS (
+  SELECT * FROM raw WHERE (kind = 'assign' AND length(regexp_extract(m, '{_PATTERNS["assign"]}', 2)) >= {ASSIGN_LEAST})
+    OR kind IN ('access', 'hex')),
+weak AS (
+  SELECT * FROM raw w WHERE (kind IN ('ident', 'endpoint')
+      OR (kind = 'bare' AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]')
+          AND len(list_distinct(string_split(m, ''))) >= 14))
+    AND NOT EXISTS (FROM strong s WHERE s.doc_id = w.doc_id AND s.a <= w.b - 1 AND s.b >= w.a + 1)),
+parts AS (
+  SELECT p.doc_id, p.kind, p.a, p.b,
+    greatest(p.a - {REACH}, coalesce((SELECT max(x.b) FROM raw x WHERE x.kind = 'blank' AND x.doc_id = p.doc_id AND x.b <= p.a), 0)) AS low,
+    least(p.b + {REACH}, coalesce((SELECT min(x.a) FROM raw x WHERE x.kind = 'blank' AND x.doc_id = p.doc_id AND x.b > p.a), p.n_chars)) AS high
+  FROM (FROM strong UNION ALL FROM weak) p),
+idents AS (SELECT * FROM parts WHERE kind IN ('access', 'ident')),
+bare AS (SELECT * FROM parts p WHERE kind = 'bare'
+  AND EXISTS (FROM idents q WHERE q.doc_id = p.doc_id AND q.a <= p.high AND q.b >= p.low)),
+secrets AS (SELECT * FROM parts WHERE kind IN ('assign', 'hex') UNION ALL FROM bare),
+named AS (SELECT * FROM idents p WHERE EXISTS (FROM secrets q WHERE q.doc_id = p.doc_id AND q.a <= p.high AND q.b >= p.low)),
+linked AS (SELECT * FROM secrets p WHERE EXISTS (FROM idents q WHERE q.doc_id = p.doc_id AND q.a <= p.high AND q.b >= p.low)),
+ends AS (SELECT * FROM parts p WHERE kind = 'endpoint'
+  AND EXISTS (FROM named q WHERE q.doc_id = p.doc_id AND q.a <= p.high AND q.b >= p.low)
+  AND EXISTS (FROM linked q WHERE q.doc_id = p.doc_id AND q.a <= p.high AND q.b >= p.low)),
+reported AS (
+  SELECT doc_id, kind, a, b FROM strong UNION ALL SELECT doc_id, kind, a, b FROM bare
+  UNION ALL SELECT doc_id, kind, a, b FROM named WHERE kind = 'ident' UNION ALL SELECT doc_id, kind, a, b FROM ends),
+spans AS (
+  SELECT *, list_position({KINDS}, kind) AS k, kind || ':' || a || ':' || b AS span FROM reported),
+joined AS (
+  SELECT doc_id, count(*) FILTER (k = 1) AS n_assign, count(*) FILTER (k = 2) AS n_access, count(*) FILTER (k = 3) AS n_hex,
+    coalesce(string_agg(span, ',' ORDER BY a, k) FILTER (k <= 3), '') AS base, string_agg(span, ',' ORDER BY a, k) AS spans,
+    count(*) FILTER (k > 3) AS n_linked
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_linked, 0) AS n_linked
+FROM d LEFT JOIN joined USING (doc_id)
+"""
