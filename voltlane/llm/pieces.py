@@ -29,7 +29,7 @@ VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}+[^{MARK}]*")
 WIDEST = 24
-HELD = 600_000
+HELD = 250_000
 NONE = -1
 STRANGE = 1 << 22  # characters outside the vocabulary are this plus their code
 ENCODED = T.StructType(
