@@ -1,8 +1,8 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 One model per value of ``lang``: counts of character four-grams are gathered over all labelled rows (workers count,
-Spark sums), Spark derives the continuation counts of the lower orders, and the driver turns the ``max_grams`` most
-frequent grams into interpolated probabilities. They are stored in sorted hash arrays: a gram packs into 64 bits, a
+Spark sums), Spark derives the continuation counts of the lower orders, and the driver turns the most frequent grams,
+``GRAMS`` for each language, into interpolated probabilities. They are stored in sorted hash arrays: a gram packs into 64 bits, a
 bijective mix of it is the hash, and a row of the value matrix has the log probability under every language, so one
 search serves all of them. A text takes the language of the lowest cross-entropy per character.
 
@@ -30,6 +30,7 @@ ORDER = 4
 BITS = 16
 SPACE, START, ASTRAL = 32, 1, 0xFFFD
 CALIBRATION_ROWS = 2000
+GRAMS = 60_000
 MAX_GRAMS = 2_000_000
 MAX_CELLS = 64_000_000
 MAX_LANGS = 256
@@ -289,12 +290,12 @@ def _build(rows) -> Model | None:
 
 
 def train(
-    docs: DataFrame, usable: Column, max_grams: int = MAX_GRAMS, calibration_rows: int = CALIBRATION_ROWS
+    docs: DataFrame, usable: Column, grams: int = GRAMS, calibration_rows: int = CALIBRATION_ROWS
 ) -> Model | None:
     """Learn from the text and lang of the rows where ``usable`` holds and neither is null; None if there are none.
 
-    Bounds: ``max_grams`` grams, fewer with many languages; the ``MAX_LANGS`` most frequent languages;
-    ``calibration_rows`` rows or a tenth."""
+    Bounds: ``grams`` grams for each language, ``MAX_GRAMS`` in all, those of the largest shares among a language's grams
+    of their order; the ``MAX_LANGS`` most frequent languages; ``calibration_rows`` rows or a tenth."""
     labelled = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "text", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("draw")
     )
@@ -306,8 +307,11 @@ def train(
     bound = int(1_000_000 * min(0.1, calibration_rows / rows))
     counts = labelled.filter(F.col("draw") >= bound).select("text", "lang")
     counts = counts.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    limit = min(max_grams, MAX_CELLS // len(langs))
-    levels = _levels(staged(counts, "grams")).orderBy(F.desc("n"), "order", "lang", "gram").limit(limit).toPandas()
+    limit = min(grams * len(langs), MAX_GRAMS, MAX_CELLS // len(langs))
+    levels = _levels(staged(counts, "grams"))
+    whole = levels.groupBy("lang", "order").agg(F.sum("n").alias("all"))
+    levels = levels.join(whole, ["lang", "order"]).orderBy((F.col("n") / F.col("all")).desc(), "order", "lang", "gram")
+    levels = levels.limit(limit).drop("all").toPandas()
     model = _build({c: levels[c].to_numpy() for c in levels.columns})
     if model:
         _calibrate(model, labelled.filter(F.col("draw") < bound).select("text", "lang"))
