@@ -3,8 +3,17 @@
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, once its session passes at most ``BATCH_BYTES`` of rows at a time to Python, or one row. By default a batch
+    is bounded by 64 MB, and long texts would be held several times over in each worker."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES):

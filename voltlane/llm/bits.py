@@ -5,6 +5,7 @@ import numpy as np
 from voltlane.llm.cells import linked_roots
 
 PAIRWISE = 64
+PART = 1024
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -12,6 +13,10 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int16)
 
 
+def _apart(bits: np.ndarray) -> np.ndarray:
+    return sum(np.bitwise_count(word[:, None] ^ word[None, :]).astype(np.int16) for word in bits.T)
+
+
 def near_edges(starts: np.ndarray, bits: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges (u, v) of ids between rows of a group whose ``bits`` (rows of words) differ in at most ``most`` places.
 
@@ -32,10 +37,13 @@ def near_edges(starts: np.ndarray, bits: np.ndarray, ids: np.ndarray, most: int)
         v.append(ids[near + d])
     large = size > PAIRWISE
     for a, n in zip(starts[large].tolist(), size[large].tolist()):
-        own = bits[a : a + n]
-        apart = sum(np.bitwise_count(own[:, None, k] ^ own[None, :, k]).astype(np.int16) for k in range(own.shape[1]))
-        root = linked_roots(apart <= most)
-        u.append(ids[a : a + n])
-        v.append(ids[a : a + n][root])
+        # Any two parts of a large group meet once.
+        parts = np.array_split(np.arange(a, a + n), -(-n // PART))
+        for k, one in enumerate(parts):
+            for other in parts[k + 1 :] or ([one] if len(parts) == 1 else []):
+                own = np.union1d(one, other)
+                root = linked_roots(_apart(bits[own]) <= most)
+                u.append(ids[own])
+                v.append(ids[own][root])
     u, v = np.concatenate(u), np.concatenate(v)
     return u[u != v], v[u != v]

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltlane.llm.arrow import runs
+from voltlane.llm.arrow import bounded, runs
 from voltlane.scratch import staged
 
 BROADCAST_GROUPS = 100_000
@@ -46,29 +46,7 @@ def compared(cells: DataFrame, key: str, schema: str, work: Callable[[pa.Table],
         for table in runs(batches, [key, "i", "j"]):
             yield from work(table)
 
-    return cells.mapInArrow(run, schema)
-
-
-class Forest:
-    """Union-find over 0 … n-1."""
-
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def find(self, x: int) -> int:
-        parent = self.parent
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    def union(self, x: int, y: int):
-        x, y = self.find(x), self.find(y)
-        if x != y:
-            self.parent[max(x, y)] = min(x, y)
-
-    def roots(self) -> np.ndarray:
-        return np.array([self.find(x) for x in range(len(self.parent))], dtype=np.int64)
+    return bounded(cells).mapInArrow(run, schema)
 
 
 def linked_roots(links: np.ndarray) -> np.ndarray:

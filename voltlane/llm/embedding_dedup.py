@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltlane.llm.arrow import group_starts
+from voltlane.llm.arrow import bounded, group_starts
 from voltlane.llm.bits import near_edges
 from voltlane.llm.cells import compared, dealt, linked_roots
 from voltlane.llm.components import components
@@ -133,7 +133,7 @@ def filters(reps: DataFrame, n: int) -> DataFrame:
                         names=["filter", "rep", "low", "high"],
                     )
 
-    return reps.select("rep", "embedding").mapInArrow(decode, "filter long, rep long, low long, high long")
+    return bounded(reps).select("rep", "embedding").mapInArrow(decode, "filter long, rep long, low long, high long")
 
 
 def _near(table: pa.Table):

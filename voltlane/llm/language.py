@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltlane.llm.arrow import slices, strings
+from voltlane.llm.arrow import bounded, slices, strings
 from voltlane.scratch import staged
 
 ORDER = 4
@@ -296,7 +296,7 @@ def train(
 
     Bounds: ``grams`` grams for each language, ``MAX_GRAMS`` in all, those of the largest shares among a language's grams
     of their order; the ``MAX_LANGS`` most frequent languages; ``calibration_rows`` rows or a tenth."""
-    labelled = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+    labelled = bounded(docs).filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "text", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("draw")
     )
     sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
@@ -376,7 +376,7 @@ def detect(docs: DataFrame, model: Model | None, name: str = "language") -> Data
         return pa.StructArray.from_arrays(columns, names=PREDICTION.names)
 
     # As nondeterministic, a later filter on the struct doesn't run the function a second time.
-    return docs.withColumn(name, predicted.asNondeterministic()("text"))
+    return bounded(docs).withColumn(name, predicted.asNondeterministic()("text"))
 
 
 def not_held_out(docs: DataFrame) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltlane.llm.arrow import group_starts, runs
+from voltlane.llm.arrow import bounded, group_starts, runs
 from voltlane.llm.vectors import by_length, cosine, matrix, unit, usable
 from voltlane.scratch import staged
 
@@ -202,7 +202,7 @@ def _indexed(vectors: DataFrame, box) -> DataFrame:
                         part[rows] = index.network.logits(unit(x)).argmax(axis=1)
                 yield own.append_column("part", pa.array(part))
 
-    return vectors.mapInArrow(assign, _with_part(vectors))
+    return bounded(vectors).mapInArrow(assign, _with_part(vectors))
 
 
 def _routed(queries: DataFrame, box, nearest: int) -> DataFrame:

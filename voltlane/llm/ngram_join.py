@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltlane.llm.arrow import group_starts, slices, strings
+from voltlane.llm.arrow import bounded, group_starts, slices, strings
 from voltlane.llm.cells import compared, dealt, linked_roots
 from voltlane.llm.components import components
 from voltlane.llm.shingles import N, mix, shingle_sets
@@ -76,7 +76,7 @@ def sketches(docs: DataFrame, n: int = N) -> DataFrame:
                 rows.append(next(hashes).tobytes() if len(s) else None)
         return pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.binary())], names=["sid", "sketch"])
 
-    return docs.select("doc_id", sketch.asNondeterministic()("text").alias("s")).select("doc_id", "s.*")
+    return bounded(docs).select("doc_id", sketch.asNondeterministic()("text").alias("s")).select("doc_id", "s.*")
 
 
 def _children(paths: np.ndarray, sketch: np.ndarray, chance: float) -> tuple[np.ndarray, np.ndarray]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltlane.llm.arrow import slices, strings
+from voltlane.llm.arrow import bounded, slices, strings
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
@@ -283,7 +283,7 @@ def encode(docs: DataFrame, path: str | None = None, name: str = "encoded") -> D
             [lists, pa.array(decoded, pa.string()), pa.array(differing, pa.int64())], names=ENCODED.names
         )
 
-    return docs.withColumn(name, encoded.asNondeterministic()("text"))
+    return bounded(docs).withColumn(name, encoded.asNondeterministic()("text"))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

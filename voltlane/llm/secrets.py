@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltlane.llm.arrow import slices, strings
+from voltlane.llm.arrow import bounded, slices, strings
 
 REACH = 200
 # The contract's patterns, and the kinds in the order in which they are listed.
@@ -157,7 +157,7 @@ def find_secrets(docs: DataFrame, name: str = "secrets") -> DataFrame:
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), spans)
 
-    return docs.withColumn(name, found.asNondeterministic()("text"))
+    return bounded(docs).withColumn(name, found.asNondeterministic()("text"))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from voltlane.llm.arrow import slices, strings
+from voltlane.llm.arrow import bounded, slices, strings
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
@@ -101,7 +101,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, name: str = "counted"
         return pa.array(np.array(n, dtype=np.int64))
 
     n_bytes = F.coalesce(F.octet_length("text").cast("long"), F.lit(0).cast("long"))
-    return docs.withColumn(name, F.struct(n_bytes.alias("n_bytes"), counted.asNondeterministic()("text").alias("n_tokens")))
+    return bounded(docs).withColumn(name, F.struct(n_bytes.alias("n_bytes"), counted.asNondeterministic()("text").alias("n_tokens")))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
