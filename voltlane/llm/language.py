@@ -30,7 +30,7 @@ ORDER = 4
 BITS = 16
 SPACE, START, ASTRAL = 32, 1, 0xFFFD
 CALIBRATION_ROWS = 2000
-GRAMS = 60_000
+GRAMS = 40_000
 MAX_GRAMS = 2_000_000
 MAX_CELLS = 64_000_000
 MAX_LANGS = 256
@@ -256,12 +256,15 @@ class Model:
         return langs, np.where(letters, score, 0.0), np.where(letters, lowest, 0.0), rejected
 
 
-def _build(rows) -> Model | None:
+def _build(levels: pa.Table) -> Model | None:
     """Interpolated probabilities from the collected levels; what was left out falls back to the lower order."""
-    if not len(rows["gram"]):
+    if not levels.num_rows:
         return None
-    langs = sorted(set(rows["lang"]))
-    lang = np.searchsorted(np.array(langs, dtype=object), rows["lang"].astype(object))
+    rows = {c: levels.column(c).to_numpy() for c in ("order", "gram", "n", "total", "types")}
+    coded = levels.column("lang").combine_chunks().dictionary_encode()
+    order = sorted(range(len(coded.dictionary)), key=lambda k: coded.dictionary[k].as_py())
+    langs = [coded.dictionary[k].as_py() for k in order]
+    lang = np.argsort(order)[coded.indices.to_numpy()]
     width = len(langs)
     model = Model(langs, {}, {}, np.zeros(width, dtype=np.float32))
     size = len(set(rows["gram"][rows["order"] == 1].tolist())) + 1
@@ -311,8 +314,7 @@ def train(
     levels = _levels(staged(counts, "grams"))
     whole = levels.groupBy("lang", "order").agg(F.sum("n").alias("all"))
     levels = levels.join(whole, ["lang", "order"]).orderBy((F.col("n") / F.col("all")).desc(), "order", "lang", "gram")
-    levels = levels.limit(limit).drop("all").toPandas()
-    model = _build({c: levels[c].to_numpy() for c in levels.columns})
+    model = _build(levels.limit(limit).drop("all").toArrow())
     if model:
         _calibrate(model, labelled.filter(F.col("draw") < bound).select("text", "lang"))
     return model
