@@ -1,5 +1,7 @@
 """Pairs of bit sketches within a Hamming distance, inside groups of a sorted table."""
 
+from collections.abc import Callable
+
 import numpy as np
 
 from voltlane.llm.cells import linked_roots
@@ -17,8 +19,11 @@ def _apart(bits: np.ndarray) -> np.ndarray:
     return sum(np.bitwise_count(word[:, None] ^ word[None, :]).astype(np.int16) for word in bits.T)
 
 
-def near_edges(starts: np.ndarray, bits: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (u, v) of ids between rows of a group whose ``bits`` (rows of words) differ in at most ``most`` places.
+def near_edges(
+    starts: np.ndarray, bits: np.ndarray, ids: np.ndarray, most: int, also: Callable | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (u, v) of ids between rows of a group whose ``bits`` (rows of words) differ in at most ``most`` places, and
+    for which ``also`` holds, which takes the rows of both sides of the pairs.
 
     In groups of up to ``PAIRWISE`` rows all pairs are tried, for the whole table at once, by distance in it. In larger
     ones every row gets an edge to the least row that it reaches. So there are never more edges than candidates."""
@@ -33,6 +38,8 @@ def near_edges(starts: np.ndarray, bits: np.ndarray, ids: np.ndarray, most: int)
         if not len(here):
             break
         near = here[distance(bits[here], bits[here + d]) <= most]
+        if also is not None:
+            near = near[also(near, near + d)]
         u.append(ids[near])
         v.append(ids[near + d])
     large = size > PAIRWISE
@@ -42,7 +49,13 @@ def near_edges(starts: np.ndarray, bits: np.ndarray, ids: np.ndarray, most: int)
         for k, one in enumerate(parts):
             for other in parts[k + 1 :] or ([one] if len(parts) == 1 else []):
                 own = np.union1d(one, other)
-                root = linked_roots(_apart(bits[own]) <= most)
+                links = _apart(bits[own]) <= most
+                if also is not None:
+                    x, y = np.nonzero(np.triu(links, 1))
+                    good = also(own[x], own[y])
+                    links[:] = False
+                    links[x[good], y[good]] = links[y[good], x[good]] = True
+                root = linked_roots(links)
                 u.append(ids[own])
                 v.append(ids[own][root])
     u, v = np.concatenate(u), np.concatenate(v)
