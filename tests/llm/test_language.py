@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from messy import docs, no_docs
 from pyspark.sql import functions as F
 
@@ -67,3 +69,34 @@ def test_find_in_sorted_hashes():
     level = language._level(np.arange(5000, dtype=np.uint64), np.arange(5000, dtype=np.float32)[:, None])
     assert (level.values[level.find(keys), 0] == np.arange(5000)).all()
     assert (level.find(language.mix(np.arange(5000, 9000, dtype=np.uint64))) == -1).all()
+
+
+def level_rows(counts):
+    """What ``_levels`` and its counts of counts give for counts of one language by order, all in one context."""
+    rows = {c: [] for c in ("lang", "order", "gram", "n", "total", "ones", "twos")}
+    for order, own in counts.items():
+        n = list(own.values())
+        for gram, k in own.items():
+            row = ("a", order, sum(ord(c) << 16 * (order - 1 - i) for i, c in enumerate(gram)), k, sum(n), n.count(1), n.count(2))
+            for column, value in zip(rows.values(), row):
+                column.append(value)
+    return pa.table(rows)
+
+
+def test_a_cut_model_keeps_its_discounts_and_sums_to_one():
+    own = {"a": 9, "b": 5, "c": 2, "d": 2, "e": 1, "f": 1, "g": 1}
+    levels = level_rows({1: own, 2: {"x" + c: n for c, n in own.items()}})
+    # As with a bound on the grams: the frequent ones of both orders are left.
+    cut = levels.filter(pc.greater(levels.column("n"), 2))
+    whole, model = language._build(levels), language._build(cut)
+    keys = np.array([ord(c) for c in "ab"], dtype=np.uint64)
+    discount = 3 / (3 + 2 * 2)
+    unseen = np.exp2(float(model.unseen[0]))
+    first = np.exp2(model.logs(1, keys).astype(float))[:, 0]
+    assert np.allclose(first - unseen, [(n - discount) / 21 for n in (9, 5)], atol=1e-6)
+    # One more symbol stands for all that were never met or left out.
+    assert np.isclose(first.sum() + unseen, 1, atol=1e-5)
+    pairs = np.exp2(model.logs(2, (np.uint64(ord("x")) << np.uint64(16)) | keys).astype(float))[:, 0]
+    other = np.exp2(model.logs(2, np.array([(ord("x") << 16) | ord("c")], dtype=np.uint64)).astype(float))[0, 0]
+    assert np.isclose(pairs.sum() + other, 1, atol=1e-5)
+    assert np.isclose(np.exp2(whole.logs(1, keys).astype(float))[0, 0] - np.exp2(float(whole.unseen[0])), (9 - discount) / 21, atol=1e-6)

@@ -134,7 +134,7 @@ def _counted(held):
 
 def _levels(counts: DataFrame) -> DataFrame:
     """Counts of all orders: as they are for the highest, the number of different left neighbours below it. With each
-    its context's total and number of different grams, and the counts of counts that give the discounts."""
+    its context's total."""
     level, all_levels = counts, None
     for order in range(ORDER, 0, -1):
         rows = level.select("lang", F.lit(order).alias("order"), "gram", "n")
@@ -142,7 +142,7 @@ def _levels(counts: DataFrame) -> DataFrame:
         low = (1 << BITS * (order - 1)) - 1
         level = level.groupBy("lang", F.col("gram").bitwiseAND(F.lit(low)).alias("gram")).agg(F.count("*").alias("n"))
     context = Window.partitionBy("lang", "order", F.shiftrightunsigned("gram", BITS))
-    return all_levels.withColumns({"total": F.sum("n").over(context), "types": F.count("*").over(context)})
+    return all_levels.withColumn("total", F.sum("n").over(context))
 
 
 # The model
@@ -257,10 +257,11 @@ class Model:
 
 
 def _build(levels: pa.Table) -> Model | None:
-    """Interpolated probabilities from the collected levels; what was left out falls back to the lower order."""
+    """Interpolated probabilities from the collected levels. What was left out falls back to the lower order, and its
+    share with it, so the probabilities of a context sum to one. ``ones`` and ``twos`` are of all grams, left out or not."""
     if not levels.num_rows:
         return None
-    rows = {c: levels.column(c).to_numpy() for c in ("order", "gram", "n", "total", "types")}
+    rows = {c: levels.column(c).to_numpy() for c in ("order", "gram", "n", "total", "ones", "twos")}
     coded = levels.column("lang").combine_chunks().dictionary_encode()
     order = sorted(range(len(coded.dictionary)), key=lambda k: coded.dictionary[k].as_py())
     langs = [coded.dictionary[k].as_py() for k in order]
@@ -271,15 +272,17 @@ def _build(levels: pa.Table) -> Model | None:
     for order in range(1, ORDER + 1):
         own = rows["order"] == order
         keys = rows["gram"][own].view(np.uint64)
-        n, total, types, of = (x[own] for x in (rows["n"], rows["total"], rows["types"], lang))
-        ones, twos = np.bincount(of[n == 1], minlength=width), np.bincount(of[n == 2], minlength=width)
+        n, total, of = (x[own] for x in (rows["n"], rows["total"], lang))
+        ones, twos = np.zeros(width, dtype=np.int64), np.zeros(width, dtype=np.int64)
+        ones[of], twos[of] = rows["ones"][own], rows["twos"][own]
         discount = np.where((ones > 0) & (twos > 0), ones / np.maximum(ones + 2 * twos, 1), 0.5)
         contexts, context = np.unique(keys >> np.uint64(BITS), return_inverse=True)
-        gamma = np.ones((len(contexts), width))
-        gamma[context, of] = discount[of] * types / total
         union, gram = np.unique(keys, return_inverse=True)
         share = np.zeros((len(union), width))
         share[gram, of] = np.maximum(n - discount[of], 0) / total
+        taken = np.bincount(context * width + of, share[gram, of], len(contexts) * width)
+        # Discounts are above zero, so something is left.
+        gamma = np.maximum(1 - taken.reshape(len(contexts), width), 1e-12)
         ctx = np.searchsorted(contexts, union >> np.uint64(BITS))
         if order == 1:
             first = gamma[0] if len(contexts) else np.ones(width)
@@ -312,7 +315,9 @@ def train(
     counts = counts.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     limit = min(grams * len(langs), MAX_GRAMS, MAX_CELLS // len(langs))
     levels = _levels(staged(counts, "grams"))
-    whole = levels.groupBy("lang", "order").agg(F.sum("n").alias("all"))
+    whole = levels.groupBy("lang", "order").agg(
+        F.sum("n").alias("all"), F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")
+    )
     levels = levels.join(whole, ["lang", "order"]).orderBy((F.col("n") / F.col("all")).desc(), "order", "lang", "gram")
     model = _build(levels.limit(limit).drop("all").toArrow())
     if model:
