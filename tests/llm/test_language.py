@@ -100,3 +100,21 @@ def test_a_cut_model_keeps_its_discounts_and_sums_to_one():
     other = np.exp2(model.logs(2, np.array([(ord("x") << 16) | ord("c")], dtype=np.uint64)).astype(float))[0, 0]
     assert np.isclose(pairs.sum() + other, 1, atol=1e-5)
     assert np.isclose(np.exp2(whole.logs(1, keys).astype(float))[0, 0] - np.exp2(float(whole.unseen[0])), (9 - discount) / 21, atol=1e-6)
+
+
+def test_rare_languages_are_calibrated_on_rows_of_their_own(spark):
+    rng = np.random.default_rng(1)
+
+    def text(letters):
+        return " ".join("".join(rng.choice(list(letters), 5)) for _ in range(20))
+
+    rows = [(k, text("abcde"), "a") for k in range(3000)] + [(3000 + k, text("vwxyz"), "b") for k in range(100)]
+    table = spark.createDataFrame([*rows, (3100, text("klmno"), "c")], "doc_id long, text string, lang string")
+    # 31 rows in all, of which "b" would have one by its share of the rows.
+    model = language.train(table, F.lit(True), calibration_rows=31)
+    assert model.langs == ["a", "b", "c"]
+    assert (model.mean < 6).all() and (model.spread < 8).all() and (model.foreign >= 1.5 * model.mean).all()
+    found = language.detect(table, model, "found").select("lang", "found.*").toPandas()
+    assert found[found.lang == "b"].rejected.mean() < 0.05 and found[found.lang == "a"].rejected.mean() < 0.01
+    strange = spark.createDataFrame([(k, text("πρστυ"), "a") for k in range(20)], "doc_id long, text string, lang string")
+    assert language.detect(strange, model, "found").filter("found.rejected").count() == 20

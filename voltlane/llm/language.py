@@ -9,8 +9,10 @@ search serves all of them. A text takes the language of the lowest cross-entropy
 Texts are NFC-normalised and lower-cased; runs of anything but letters and marks are one space. Characters outside the
 basic plane share one symbol.
 
-Calibration: a hash sample of labelled rows (at most a tenth, about ``CALIBRATION_ROWS``) is kept out of the counts.
-It sets the temperature of ``score`` and, for each language, the entropy above which a text is rejected.
+Calibration: a hash sample of labelled rows (of each language at most a tenth; about ``CALIBRATION_ROWS`` in all, and about
+``LANG_ROWS`` of each) is kept out of the counts. It sets the temperature of ``score`` and, for each language, the entropy
+above which a text is rejected. Spark sums it up by language; where a language has few rows, those of all languages
+count as ``PRIOR_ROWS`` more.
 """
 
 import unicodedata
@@ -29,7 +31,8 @@ from voltlane.scratch import staged
 ORDER = 4
 BITS = 16
 SPACE, START, ASTRAL = 32, 1, 0xFFFD
-CALIBRATION_ROWS = 2000
+CALIBRATION_ROWS, LANG_ROWS, PRIOR_ROWS = 2000, 500, 10
+TEMPERATURES = [2.0**-k for k in range(11)]
 GRAMS = 40_000
 MAX_GRAMS = 2_000_000
 MAX_CELLS = 64_000_000
@@ -301,7 +304,8 @@ def train(
     """Learn from the text and lang of the rows where ``usable`` holds and neither is null; None if there are none.
 
     Bounds: ``grams`` grams for each language, ``MAX_GRAMS`` in all, those of the largest shares among a language's grams
-    of their order; the ``MAX_LANGS`` most frequent languages; ``calibration_rows`` rows or a tenth."""
+    of their order; the ``MAX_LANGS`` most frequent languages. ``calibration_rows`` rows, or ``LANG_ROWS`` of a language if that is more,
+    are kept out, but a tenth at most."""
     labelled = bounded(docs).filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "text", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)).alias("draw")
     )
@@ -310,8 +314,11 @@ def train(
         return None
     langs, rows = [r["lang"] for r in sizes], sum(r["count"] for r in sizes)
     labelled = labelled.filter(F.col("lang").isin(langs))
-    bound = int(1_000_000 * min(0.1, calibration_rows / rows))
-    counts = labelled.filter(F.col("draw") >= bound).select("text", "lang")
+    least = LANG_ROWS if calibration_rows else 0
+    part = {r["lang"]: min(0.1, max(calibration_rows / rows, least / r["count"])) for r in sizes}
+    bounds = F.create_map(*[F.lit(x) for lang in langs for x in (lang, int(1_000_000 * part[lang]))])
+    kept_out = F.col("draw") < F.element_at(bounds, F.col("lang"))
+    counts = labelled.filter(~kept_out).select("text", "lang")
     counts = counts.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     limit = min(grams * len(langs), MAX_GRAMS, MAX_CELLS // len(langs))
     levels = _levels(staged(counts, "grams"))
@@ -321,48 +328,81 @@ def train(
     levels = levels.join(whole, ["lang", "order"]).orderBy((F.col("n") / F.col("all")).desc(), "order", "lang", "gram")
     model = _build(levels.limit(limit).drop("all").toArrow())
     if model:
-        _calibrate(model, labelled.filter(F.col("draw") < bound).select("text", "lang"))
+        _calibrate(model, labelled.filter(kept_out).select("text", "lang"), part)
     return model
 
 
-def _calibrate(model: Model, sample: DataFrame):
+def _calibrate(model: Model, sample: DataFrame, part: dict[str, float]):
     """Temperature of least log loss; by language, the mean entropy of its own text and of other languages' text, and
-    the largest usual excess of its own."""
+    the largest usual excess of its own. ``part`` is the share of each language's rows that the sample has."""
     box = sample.sparkSession.sparkContext.broadcast(model)
+    number = {lang: k for k, lang in enumerate(model.langs)}
 
     def score(batches):
         for batch in batches:
-            for part in slices(batch.column(0)):
-                langs = batch.column(1).slice(part.offset - batch.column(0).offset, len(part))
-                bits, n, letters = box.value.entropies(strings(part))
+            for texts in slices(batch.column(0)):
+                langs = batch.column(1).slice(texts.offset - batch.column(0).offset, len(texts))
+                bits, n, letters = box.value.entropies(strings(texts))
+                truth = np.array([number.get(x, -1) for x in langs.to_pylist()])
+                use = letters & (n > 0) & (truth >= 0)
+                bits, n, truth = bits[use], n[use], truth[use]
+                if not len(n):
+                    continue
+                own = bits[np.arange(len(n)), truth]
+                gain = (bits - bits.min(axis=1, keepdims=True)) * n[:, None]
+                losses = []
+                for t in TEMPERATURES:
+                    scaled = np.minimum(gain * t, 1000)
+                    losses.append(scaled[np.arange(len(n)), truth] + np.log2(np.exp2(-scaled).sum(axis=1)))
                 yield pa.RecordBatch.from_arrays(
-                    [langs, pa.array(bits.tolist(), pa.list_(pa.float64())), pa.array(np.where(letters, n, 0))],
-                    names=["lang", "bits", "n"],
-                )
-
-    rows = [r for r in sample.mapInArrow(score, "lang string, bits array<double>, n long").collect() if r["n"] > 0]
-    rows = [r for r in rows if r["lang"] in model.langs]
+                    [pa.array(truth), pa.array(np.ones(len(n), dtype=bool)), pa.array(own), pa.array(n.astype(float)),
+                     pa.array(np.array(losses).T.tolist(), pa.list_(pa.float64()))],
+                    names=["k", "own", "bits", "n", "losses"],
+                )
+                # Of all other languages' texts together.
+                other = np.repeat(n[:, None].astype(float), len(number), axis=1)
+                other[np.arange(len(n)), truth] = 0
+                weight = other.sum(axis=0)
+                some = np.flatnonzero(weight)
+                mean = (bits * other).sum(axis=0)[some] / weight[some]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some), pa.array(np.zeros(len(some), dtype=bool)), pa.array(mean), pa.array(weight[some]),
+                     pa.nulls(len(some), pa.list_(pa.float64()))],
+                    names=["k", "own", "bits", "n", "losses"],
+                )
+
+    rows = staged(sample.mapInArrow(score, "k long, own boolean, bits double, n double, losses array<double>"), "calibration")
+    losses = [F.sum(F.get("losses", F.lit(i))).alias(f"loss{i}") for i in range(len(TEMPERATURES))]
+    found = rows.groupBy("k", "own").agg(
+        F.count("*").alias("rows"), F.sum("n").alias("n"), F.sum(F.col("bits") * F.col("n")).alias("bits"), *losses
+    )
+    found = {(r["k"], r["own"]): r for r in found.collect()}
     width = len(model.langs)
     model.mean, model.foreign, model.spread = np.full(width, 8.0), np.full(width, 16.0), np.full(width, 8.0)
-    if not rows:
+    own = {k: found[k, True] for k in range(width) if (k, True) in found}
+    if not own:
         return
-    bits, n = np.array([r["bits"] for r in rows]), np.array([r["n"] for r in rows])
-    truth = np.array([model.langs.index(r["lang"]) for r in rows])
-    gain = (bits - bits.min(axis=1, keepdims=True)) * n[:, None]
-    losses = {}
-    for t in 2.0 ** -np.arange(0, 11):
-        scaled = np.minimum(gain * t, 1000)
-        losses[t] = np.mean(scaled[np.arange(len(truth)), truth] + np.log2(np.exp2(-scaled).sum(axis=1)))
-    model.temperature = float(min(losses, key=losses.get))
-    own = bits[np.arange(len(truth)), truth]
+    # A row stands for as many as were not drawn in its language.
+    total = [sum(r[f"loss{i}"] / part[model.langs[k]] for k, r in own.items()) for i in range(len(TEMPERATURES))]
+    model.temperature = TEMPERATURES[int(np.argmin(total))]
+    usual = np.mean([r["bits"] / r["n"] for r in own.values()])
+    length = sum(r["n"] for r in own.values()) / sum(r["rows"] for r in own.values())
+    for k in range(width):
+        n, bits = (own[k]["n"], own[k]["bits"]) if k in own else (0, 0)
+        model.mean[k] = (bits + usual * PRIOR_ROWS * length) / (n + PRIOR_ROWS * length)
+        model.foreign[k] = 2 * model.mean[k]
+        if (k, False) in found:
+            model.foreign[k] = max(1.5 * model.mean[k], found[k, False]["bits"] / found[k, False]["n"])
+    means = F.array(*[F.lit(float(m)) for m in model.mean])
+    excess = (F.col("bits") - F.get(means, F.col("k").cast("int"))) * F.sqrt("n")
+    high = F.percentile_approx(excess, 0.999, 10_000).alias("high")
+    excesses = rows.filter("own").select("k", "bits", "n")
+    high_of = {r["k"]: r["high"] for r in excesses.groupBy("k").agg(high).collect()}
+    usual = excesses.agg(high).first()["high"]
     for k in range(width):
-        if (truth == k).any():
-            h, m = own[truth == k], n[truth == k]
-            model.mean[k] = np.average(h, weights=m)
-            model.foreign[k] = 2 * model.mean[k]
-            if (truth != k).any():
-                model.foreign[k] = max(1.5 * model.mean[k], np.average(bits[truth != k, k], weights=n[truth != k]))
-            model.spread[k] = max(1.0, np.quantile((h - model.mean[k]) * np.sqrt(m), 0.999))
+        count = own[k]["rows"] if k in own else 0
+        spread = (count * high_of.get(k, 0) + PRIOR_ROWS * usual) / (count + PRIOR_ROWS)
+        model.spread[k] = max(1.0, spread)
 
 
 def detect(docs: DataFrame, model: Model | None, name: str = "language") -> DataFrame:
