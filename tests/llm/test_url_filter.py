@@ -70,3 +70,26 @@ def test_empty_tables(spark):
     none, some = captures(spark, []), captures(spark, [(1, "http://a.org", DAYS[0], "v")])
     assert url_filter.evaluate(none, entries(spark, [])).count() == 0
     assert [r.verdict for r in url_filter.evaluate(some, entries(spark, [])).collect()] == ["keep"]
+
+
+def test_paths_of_any_depth(spark):
+    deep = "a.org/" + "/".join("abcdefgh")
+    listed = entries(
+        spark,
+        [
+            ("block", "a.org/a/b", True, DAYS[0], 1),
+            ("allow", "a.org/a/b/c/d", True, DAYS[0], 1),
+            ("block", deep, True, DAYS[0], 1),
+            ("block", "b.org/a/b/c/d", True, DAYS[0], 1),
+        ],
+    )
+    cases = [
+        (1, "http://b.org/a/b/c/d/e", "drop", "b.org/a/b/c/d"),
+        (2, "http://b.org/a/b/c/de", "keep", None),
+        (3, "http://a.org/a/b/c/x", "drop", "a.org/a/b"),
+        (4, "http://a.org/a/b/c/d/e?q", "keep", "a.org/a/b/c/d"),
+        (5, f"http://{deep}/i", "drop", deep),
+    ]
+    rows = [(i, u, DAYS[3], "clash") for i, u, _, _ in cases]
+    got = url_filter.evaluate(captures(spark, rows), listed).collect()
+    assert sorted((r.page_id, r.verdict, r.pattern) for r in got) == [(i, v, p) for i, _, v, p in cases]

@@ -2,7 +2,8 @@
 
 An entry names a list, a pattern and a date on which it was put on the list or taken off. A pattern is a domain (it
 covers the domain and all below it), a host with leading path segments, or a URL without query and fragment. A capture
-is looked up under every pattern that could cover it: a join on the pattern with the fetch date inside the interval.
+is looked up under every pattern that could cover it, with path prefixes of those lengths that any entry has: a join on
+the pattern with the fetch date inside the interval.
 There are at most a few intervals per pattern, so a hot host is a skewed join of rows that stay one per capture and
 pattern, which Spark splits. Nothing is forced to broadcast.
 """
@@ -10,7 +11,6 @@ pattern, which Spark splits. Nothing is forced to broadcast.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MOST_SEGMENTS = 3
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)"
 
@@ -26,16 +26,22 @@ def segments(url: str = "url") -> Column:
     return F.filter(F.split(path, "/"), lambda s: s != "")
 
 
-def patterns(host: Column, segments: Column) -> Column:
-    """All patterns that could cover a URL of this host and these segments."""
+def depths(entries: DataFrame) -> list[int]:
+    """The numbers of path segments that the patterns of ``entries`` have, but for none."""
+    number = F.size(F.split("pattern", "/")) - 1
+    found = entries.filter(F.col("pattern").isNotNull()).select(number.alias("depth")).distinct().collect()
+    return sorted(r["depth"] for r in found if r["depth"] > 0)
+
+
+def patterns(host: Column, segments: Column, depths: list[int]) -> Column:
+    """All patterns that could cover a URL of this host and these segments, with paths of ``depths`` segments."""
     labels = F.split(host, r"\.")
     domains = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
         lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."),
     )
-    shown = F.least(F.size(segments), F.lit(MOST_SEGMENTS))
     paths = F.transform(
-        F.filter(F.sequence(F.lit(0), shown), lambda k: k > 0),
+        F.filter(F.lit(depths).cast("array<int>"), lambda k: k <= F.size(segments)),
         lambda k: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, 1, k), "/")),
     )
     whole = F.array(F.concat(host, F.lit("/"), F.array_join(segments, "/")))
@@ -68,7 +74,7 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     an empty host and the verdict ``invalid``; a null date meets no entry. Rows that repeat page_id, URL and date come
     back as often as they are there."""
     rows = captures.select("page_id", "url", "fetched_on").withColumn("host", host())
-    keys = patterns(F.col("host"), F.col("segments"))
+    keys = patterns(F.col("host"), F.col("segments"), depths(entries))
     # Equal captures are looked up once.
     wanted = rows.groupBy("page_id", "url", "fetched_on", "host").agg(F.count("*").alias("copies"))
     looked = wanted.filter("host <> '' AND fetched_on IS NOT NULL").withColumn("segments", segments())
