@@ -7,6 +7,7 @@ from voltlane.llm import (
     mixing,
     nearest,
     ngram_join,
+    periodic,
     pieces,
     secrets,
     token_counts,
@@ -24,5 +25,10 @@ QUERIES = {
     "op8_nearest": nearest.op8,
     "op9_source_mix": mixing.op9,
     "op10_ngram_join": ngram_join.op10,
+    "op11_periodic_runs": periodic.op11,
+}
+SQL: dict[str, str] = {
+    "op2_secret_scan": secrets.SQL,
+    "op3_url_filter": url_filter.SQL,
+    "op11_periodic_runs": periodic.SQL,
 }
-SQL: dict[str, str] = {"op2_secret_scan": secrets.SQL, "op3_url_filter": url_filter.SQL}
