@@ -9,9 +9,11 @@ from voltlane.llm import (
     ngram_join,
     periodic,
     pieces,
+    quality,
     secrets,
     token_counts,
     url_filter,
+    vector_codes,
 )
 
 QUERIES = {
@@ -26,9 +28,12 @@ QUERIES = {
     "op9_source_mix": mixing.op9,
     "op10_ngram_join": ngram_join.op10,
     "op11_periodic_runs": periodic.op11,
+    "op12_vector_codes": vector_codes.op12,
+    "op13_quality": quality.op13,
 }
 SQL: dict[str, str] = {
     "op2_secret_scan": secrets.SQL,
     "op3_url_filter": url_filter.SQL,
     "op11_periodic_runs": periodic.SQL,
+    "op12_vector_codes": vector_codes.SQL,
 }
