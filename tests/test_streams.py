@@ -96,11 +96,11 @@ def test_lifecycle_forgets_idle_and_closed_sessions(spark, tmp_path):
 
 def test_pairs_of_a_live_log(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    ddl = "line string, arrival timestamp"
+    ddl = "line string, arrival timestamp, ord long"
 
     def arrive(*rows):
-        df = spark.createDataFrame(rows, "line string, arrival string")
-        df.select("line", F.col("arrival").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
+        df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "line string, arrival string, ord long")
+        df.withColumn("arrival", F.col("arrival").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
         parsed = lines.parse_lines(spark.readStream.schema(ddl).parquet(source))
         writer = match_stream(parsed, "10 minutes").writeStream.format("parquet").option("path", out)
         writer.option("checkpointLocation", out + "-cp").trigger(availableNow=True).start().awaitTermination()

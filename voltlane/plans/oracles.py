@@ -441,4 +441,21 @@ WHERE action = 'StartTransaction'""",
     "history_upsert_repeated": ALL["history_upsert"],
     "history_by_day": ALL["energy_by_station"],
     "history_plain": ALL["completed_sessions"],
+    "retention_purged": f"""WITH {_T}
+SELECT "offset", sessionId, eventTime, strftime(eventTime, '%Y-%m-%d') AS day FROM s
+WHERE eventTime >= TIMESTAMP '2024-01-28 09:00:00'""",
+    "stream_log_pairs": ALL["pairs_from_files"],
+    "stream_log_accounted": f"""WITH {_LINES},
+calls AS (
+  SELECT file, event_id, event_id % 29 = 0 AS twice, event_id % 10 <> 0 AS answered, event_id % 17 = 0 AS orphan FROM m),
+counted AS (
+  SELECT 'pair' AS status, 1 + CAST(twice AS INTEGER) AS n, 2 + CAST(twice AS INTEGER) AS lines FROM calls
+  WHERE answered AND file <> '20240105'
+  UNION ALL SELECT 'unpaired_request', 1 + CAST(twice AS INTEGER), 1 + CAST(twice AS INTEGER) FROM calls
+  WHERE NOT answered AND file <> '20240105'
+  UNION ALL SELECT 'unpaired_response', 1, 1 FROM calls WHERE orphan AND file <> '20240105'
+  UNION ALL SELECT 'late', x, x FROM (SELECT 1 + CAST(twice AS INTEGER) + CAST(answered AS INTEGER) + CAST(orphan AS INTEGER) AS x
+    FROM calls WHERE file = '20240105')
+  UNION ALL SELECT 'reject', 1, 1 FROM junk)
+SELECT status, CAST(sum(n) AS BIGINT) AS n, CAST(sum(lines) AS BIGINT) AS lines FROM counted GROUP BY status""",
 }

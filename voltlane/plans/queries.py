@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from voltlane import schemas as S
 from voltlane.operators import epochs, filters, lines, pairing, quality, running, sessions, tables, topics, tracker
+from voltlane.operators import retention as retained
 from voltlane.plans import jobs, views
 from voltlane.scratch import scratch_folder, staged
 from voltlane.sources import events, history, logs, messages
@@ -370,6 +371,17 @@ def retention(spark, sf):
     return filters.retained(_typed(spark, sf), "eventTime", _as_of(), 3).select("offset", "sessionId", "eventTime")
 
 
+def retention_purged(spark, sf):
+    """The live messages as a table by day, written in two batches and purged twice; limits fall inside a day."""
+    typed = _typed_table(spark, sf)
+    path = scratch_folder(spark, "days")
+    for batch in range(2):
+        retained.write_days(typed.filter(F.col("offset") % 2 == batch), path, batch_id=batch)
+    for hours in (-20, 9):
+        retained.purge(spark, path, _as_of() + F.make_dt_interval(hours=F.lit(hours)), 3)
+    return spark.read.parquet(path).select("offset", "sessionId", "eventTime", F.col("day").cast("string").alias("day"))
+
+
 def live_log_of_charger(spark, sf):
     raw = topics.to_active_raw(_typed(spark, sf))
     return views.session_messages(raw, "charger6_", end=_as_of() - F.expr("INTERVAL 7 DAYS")).select("key", "offset")
@@ -640,6 +652,50 @@ def stream_dead_letters(spark, sf):
     return letters.select("topic", F.from_json("value", fields).alias("v")).select("topic", "v.*")
 
 
+def _live_log(spark, sf, old: str | None = None):
+    """The charger log as text files, one folder per day, and its parsed lines as a stream. A last line, a day later, lets
+    all the others out. ``old`` is a day whose files are a week old."""
+    folder = _written_log(spark, sf)
+    closing = F.lit('clock : [2,"last","Heartbeat",{}]')
+    spark.range(1).select(closing).write.text(f"{folder}/file=closing")
+    if old is not None:
+        files = retained.Files(spark, folder)
+        for status in files.system.listStatus(files.at(f"file={old}")):
+            files.system.setTimes(status.getPath(), status.getModificationTime() - 7 * 86_400_000, -1)
+    day = F.when(F.col("_metadata.file_path").contains("closing"), 1).otherwise(0)
+    clock = F.current_timestamp() + F.make_dt_interval(day)
+    return lines.parse_lines(logs.read_log_stream(spark, folder, clock=clock))
+
+
+def stream_log_pairs(spark, sf):
+    """Pairs of log files that arrive as a stream, where a file may repeat a request with another action."""
+    out = scratch_folder(spark, "ingest")
+    sinks = {name: lambda df, i, name=name: tables.write_batch(df, f"{out}/{name}", i) for name in ("messages", "dead")}
+    live_pairing.start_ingest(_live_log(spark, sf), sinks, out + "-checkpoint", availableNow=True).awaitTermination()
+    message = F.get_json_object("value", "$.message")
+    return spark.read.parquet(out + "/messages").select(
+        F.col("key").alias("uniqueId"),
+        F.get_json_object("value", "$.chargerId").alias("chargerId"),
+        F.get_json_object(message, "$[2]").alias("action"),
+    )
+
+
+def stream_log_accounted(spark, sf):
+    """Requests and responses joined as two streams, one day's files being late: rows and different lines by status."""
+    out = scratch_folder(spark, "joined")
+    live_pairing.use_one_clock(spark)
+    job.use_rocksdb(spark)
+    try:
+        joined = live_pairing.join_stream(_live_log(spark, sf, old="20240105"), late_after="2 days")
+        writer = joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.multipleWatermarkPolicy")
+    rows = spark.read.parquet(out).filter("chargerId is null or chargerId <> 'clock'")
+    places = rows.select("status", F.explode("places").alias("place")).distinct().groupBy("status")
+    return rows.groupBy("status").agg(F.count("*").alias("n")).join(places.agg(F.count("*").alias("lines")), "status")
+
+
 ALL = [
     read_log, pairs_from_files, parse_flat, message_kinds, reject_reasons, pairs, unpaired_requests,
     unpaired_responses, request_has_response, pairs_across_files, ingest_counts, message_log,
@@ -655,7 +711,8 @@ ALL = [
     history_defaults, history_written, history_exported, charger_session_table, dq_required, dq_meter,
     dq_energy, dq_duration, dq_exclusive, dq_status, stream_history, stream_active, stream_lifecycle,
     stream_pairs, stream_dead_letters, completed_from_mixed, status_from_mixed, number_kinds, epochs_of_partitions,
-    recovered_in_quotes, history_upsert_repeated, history_by_day, history_plain,
+    recovered_in_quotes, history_upsert_repeated, history_by_day, history_plain, retention_purged,
+    stream_log_pairs, stream_log_accounted,
 ]
 
 

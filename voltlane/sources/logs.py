@@ -1,7 +1,12 @@
 """Charger log files: one ``charger : [call]`` per line."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _content(line: Column) -> Column:
@@ -28,13 +33,44 @@ def read_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return content_lines(lines)
 
 
-def read_log_stream(spark: SparkSession, folder: str, **options) -> DataFrame:
-    """New log files of a folder as they arrive: (file, arrival, line)."""
+@F.arrow_udf(T.LongType())
+def _place(splits: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Numbers the lines of each split, given by file and start; a task gets a split's lines in order and in one go."""
+    last, count = None, 0
+    for columns in splits:
+        file, block = (c.to_numpy(zero_copy_only=False) for c in columns)
+        n = len(file)
+        new = np.ones(n, dtype=bool)
+        new[1:] = (file[1:] != file[:-1]) | (block[1:] != block[:-1])
+        if n and last == (file[0], block[0]):
+            new[0] = False
+        starts = np.flatnonzero(new)
+        place = np.arange(n) + count
+        for a, b in zip(starts, np.append(starts[1:], n)):
+            place[a:b] = np.arange(b - a)
+        if n:
+            last, count = (file[-1], block[-1]), int(place[-1]) + 1
+        yield pa.array(place, pa.int64())
+
+
+def read_log_stream(spark: SparkSession, folder: str, clock: Column | None = None, **options) -> DataFrame:
+    """New log files of a folder as they arrive: (file, ord, written, arrival, line).
+
+    ``ord`` is the place of a line in its file, as in ``read_log``: the start of its split and its number there. A stream
+    has no ``monotonically_increasing_id``, so lines are numbered in Python, which gets two numbers of each, not the text.
+
+    ``written`` is the time on the file. ``arrival`` is when the stream took the line in, the same for a whole batch and
+    rising from batch to batch, so no line is ever behind the watermark, however old its file. ``clock`` replaces it."""
     lines = spark.readStream.format("text").options(**options).load(folder)
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_modification_time").alias("written"),
+        (F.current_timestamp() if clock is None else clock).alias("arrival"),
+        _content(F.col("value")).alias("line"),
+    )
+    # Numbered before blank lines and comments go, and before anything can be filtered below it.
+    number = _place.asNondeterministic()(F.xxhash64("file"), F.col("block"))
     return content_lines(
-        lines.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_modification_time").alias("arrival"),
-            _content(F.col("value")).alias("line"),
-        )
+        lines.select("file", F.struct("block", number.alias("line")).alias("ord"), "written", "arrival", "line")
     )
