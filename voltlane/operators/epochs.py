@@ -15,9 +15,9 @@ def with_epoch(
     stage: bool = True,
 ) -> DataFrame:
     """Adds the number of earlier stops under the same key, in arrival order."""
-    rows = B.arrival_blocks(rows.withColumn("stopFlag", is_stop.cast("long")), ord, rows_per_block, stage)
+    blocked = B.arrival_blocks(rows.withColumn("stopFlag", is_stop.cast("long")), ord, rows_per_block, stage)
     earlier = B.in_block(keys, [ord]).rowsBetween(B.Window.unboundedPreceding, -1)
-    windowed = rows.withColumn("epoch", F.coalesce(F.sum("stopFlag").over(earlier), F.lit(0)))
-    joined = B.with_carry(windowed, rows, keys, {"stopsBefore": (F.sum("stopFlag"), "sum")})
+    windowed = blocked.rows.withColumn("epoch", F.coalesce(F.sum("stopFlag").over(earlier), F.lit(0)))
+    joined = B.with_carry(windowed, blocked, keys, {"stopsBefore": (F.sum("stopFlag"), "sum")})
     epoch = F.col("epoch") + F.coalesce("stopsBefore", F.lit(0))
     return joined.withColumn("epoch", epoch).drop("block", "stopFlag", "stopsBefore")

@@ -50,10 +50,10 @@ def running_state_replay(
     rows = rows.withColumn("powered", F.col("power").isNotNull().cast("long"))
     if order == "arrival":
         by = ["offset"]
-        rows = B.arrival_blocks(rows, "offset", rows_per_block, stage)
+        blocked = B.arrival_blocks(rows, "offset", rows_per_block, stage)
     else:
         by = ["eventTime", "offset"]
-        rows = B.range_blocks(rows, [*GROUP, *by])
+        blocked = B.range_blocks(rows, [*GROUP, *by], size=rows_per_block)
     parts = {
         "startTime": ("eventTime", "min"),
         "lastSeen": ("eventTime", "max"),
@@ -63,10 +63,9 @@ def running_state_replay(
     }
     totals = {f"{name}Before": (B.MERGE[how](F.col(c)), how) for name, (c, how) in parts.items()}
     so_far = B.in_block(GROUP, by).rowsBetween(B.Window.unboundedPreceding, B.Window.currentRow)
-    windowed = rows.withColumns({n: B.MERGE[how](F.col(c)).over(so_far) for n, (c, how) in parts.items()})
-    joined = B.with_carry(windowed, rows, GROUP, totals)
-    join = {"min": F.least, "max": F.greatest, "sum": lambda a, b: F.coalesce(a + b, a, b)}
-    state = joined.withColumns({n: join[how](F.col(n), F.col(f"{n}Before")) for n, (_, how) in parts.items()})
+    windowed = blocked.rows.withColumns({n: B.MERGE[how](F.col(c)).over(so_far) for n, (c, how) in parts.items()})
+    joined = B.with_carry(windowed, blocked, GROUP, totals)
+    state = joined.withColumns({n: B.JOIN[how](F.col(f"{n}Before"), F.col(n)) for n, (_, how) in parts.items()})
     return state.select("offset", *state_columns())
 
 
@@ -74,7 +73,7 @@ def with_first_event_time(
     messages: DataFrame, rows_per_block: int = B.ROWS_PER_BLOCK, stage: bool = True
 ) -> DataFrame:
     """Each message with the first event time of its session and the id built from it."""
-    rows = B.arrival_blocks(messages, "offset", rows_per_block, stage)
+    blocked = B.arrival_blocks(messages, "offset", rows_per_block, stage)
     first = {"sessionStart": (F.min("eventTime"), "min")}
-    rows = B.with_carry(rows, rows, GROUP, first, whole_group=True).drop("block")
+    rows = B.with_carry(blocked.rows, blocked, GROUP, first, whole_group=True).drop("block")
     return rows.withColumn("startSessionId", F.concat_ws("_", "chargerId", iso_text(F.col("sessionStart"))))

@@ -156,11 +156,11 @@ def trapezoid_energy(messages: DataFrame, blocks: int | None = None) -> DataFram
     key = ["sessionId"]
     order = ["sessionId", "eventTime", "offset"]
     readings = messages.filter(F.col("power").isNotNull()).select(*order, "power")
-    readings = B.range_blocks(readings, order, blocks)
+    blocked = B.range_blocks(readings, order, blocks)
     reading = F.struct("eventTime", "power")
     last = {"earlier": (F.max_by(reading, F.struct("eventTime", "offset")), "last")}
-    rows = readings.withColumn("before", F.lag(reading).over(B.in_block(key, ["eventTime", "offset"])))
-    rows = B.with_carry(rows, readings, key, last).withColumn("before", F.coalesce("before", "earlier"))
+    rows = blocked.rows.withColumn("before", F.lag(reading).over(B.in_block(key, ["eventTime", "offset"])))
+    rows = B.with_carry(rows, blocked, key, last).withColumn("before", F.coalesce("before", "earlier"))
     micros = F.unix_micros("eventTime") - F.unix_micros("before.eventTime")
     slice_kwh = (F.col("power") + F.col("before.power")) / 2 * micros / F.lit(3.6e9)
     return rows.groupBy(*key).agg(

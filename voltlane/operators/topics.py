@@ -120,9 +120,9 @@ def after_last_tombstone(
     records: DataFrame, rows_per_block: int = B.ROWS_PER_BLOCK, stage: bool = False
 ) -> DataFrame:
     """All records of each key that follow its last tombstone. ``stage`` is for records that no table holds yet."""
-    rows = B.arrival_blocks(records, "offset", rows_per_block, stage)
+    blocked = B.arrival_blocks(records, "offset", rows_per_block, stage)
     last = {"tombstone": (F.max(F.when(F.col("value").isNull(), F.col("offset"))), "max")}
-    rows = B.with_carry(rows, rows, ["topic", "key"], last, whole_group=True)
+    rows = B.with_carry(blocked.rows, blocked, ["topic", "key"], last, whole_group=True)
     kept = F.col("value").isNotNull() & (F.col("tombstone").isNull() | (F.col("offset") > F.col("tombstone")))
     return rows.filter(kept).select(*records.columns)
 
