@@ -78,6 +78,20 @@ def merge_statement(target: str, staging: str, columns: list[str], key: str = "s
     )
 
 
+def merge_once_statements(
+    target: str, staging: str, ledger: str, columns: list[str], batch_id: int, job: str = "history", key: str = "sessionId"
+) -> list[str]:
+    """Statements for one transaction that bring a batch from ``staging`` (with a column batch_id) into ``target`` and enter
+    it in ``ledger`` (job, batch_id). If the ledger has the batch, or a later one, neither changes anything; and rows that
+    another batch left in ``staging`` are not taken for this one's."""
+    new = f"NOT EXISTS (SELECT 1 FROM {ledger} l WHERE l.job = '{job}' AND l.batch_id >= {int(batch_id)})"
+    source = f"(SELECT {', '.join(columns)} FROM {staging} WHERE batch_id = {int(batch_id)} AND {new})"
+    return [
+        merge_statement(target, source, columns, key),
+        f"INSERT INTO {ledger} (job, batch_id) SELECT '{job}', {int(batch_id)} WHERE {new}",
+    ]
+
+
 def compact_batches(spark: SparkSession, path: str, target: str, **options) -> None:
     """The newest versions of a table written by batch, as a table partitioned by day at ``target``."""
     versions = spark.read.parquet(path)

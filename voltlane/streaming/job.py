@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from voltlane import schemas as S
 from voltlane.functions.calls import session_id
-from voltlane.operators import running, sessions, tables, topics
+from voltlane.operators import running, sessions, tables, topics, versions
 from voltlane.operators.sessions import GROUP
 from voltlane.streaming import lifecycle
 
@@ -77,6 +77,42 @@ def merge_sink(merge, key: str = "sessionId", order: str | Column | None = None,
     return write
 
 
+def merge_once_sink(
+    transact,
+    target: str,
+    staging: str,
+    ledger: str,
+    job: str = "history",
+    key: str = "sessionId",
+    order: str | Column | None = None,
+    format: str = "jdbc",
+    **options,
+):
+    """Sink for ``history`` in a keyed table of a database, exactly once.
+
+    As in ``merge_sink`` the batch overwrites a staging table (any Spark sink, its place in ``options``), here with its
+    number. ``transact(spark, statements)`` runs the statements of ``tables.merge_once_statements`` in one transaction, so
+    that the rows and the entry in the ledger become visible together. A batch that is repeated after a failure before
+    that is applied, after that it is not, even if the target has been changed since."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        rest = [c for c in df.columns if c != key]
+        newest = tables.last_per_key(df, [key], F.struct(*rest) if order is None else order)
+        newest.withColumn("batch_id", F.lit(batch_id).cast("long")).write.format(format).options(**options).mode("overwrite").save()
+        transact(df.sparkSession, tables.merge_once_statements(target, staging, ledger, df.columns, batch_id, job, key))
+
+    return write
+
+
+def versioned_sink(path: str, key: str = "sessionId", order: str | Column | None = None, buckets: int = versions.BUCKETS):
+    """Sink for ``history`` in a keyed table of Parquet files, exactly once and without a database."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        versions.apply_batch(df, path, batch_id, key, order, buckets=buckets)
+
+    return write
+
+
 def catalog_sink(table: str, key: str = "sessionId", order: str | Column | None = None):
     """Sink for ``history`` in a catalog table whose format takes row-level changes: a merge by key in one step."""
 
