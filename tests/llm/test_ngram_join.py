@@ -116,3 +116,50 @@ def test_messy_rows(spark):
 @pytest.mark.parametrize("run", [ngram_join.ngram_join, ngram_join.representatives])
 def test_empty_table(spark, run):
     assert run(no_docs(spark)).count() == 0
+
+
+def test_one_doc_id_with_several_texts(spark):
+    """A text goes only if another text stands for it, whatever else its doc_id holds."""
+    a, b, c, d = (words(20 + k, 40) for k in range(4))
+    near = a.rsplit(" ", 1)[0] + " other"
+    rows = [
+        (0, a), (1, near), (1, b), (2, c), (2, c + " more"), (2, d), (2, d), (3, b.upper()), (4, None), (4, ""), (4, d),
+        (5, a), (5, near), (6, c.upper() + " "), (7, words(30, 40)),
+    ]
+    table = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, sid int")
+    found = ngram_join.ngram_join(table.select("doc_id", "text")).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in found) == brute_force(rows)
+    left = ngram_join.representatives(table)
+    assert left.columns == table.columns
+    got = Counter((r.doc_id, r.text) for r in left.collect())
+    # Of c and c with a word more, one stays.
+    of_c = {t for i, t in got if i == 2 and t != d}
+    assert len(of_c) == 1 and of_c < {c, c + " more"}
+    assert got - Counter({(2, t): 1 for t in of_c}) == Counter(
+        [(0, a), (1, b), (2, d), (4, None), (4, ""), (7, words(30, 40))]
+    )
+
+
+def test_edges_of_two_blocks_connect_what_is_linked():
+    rng = random.Random(8)
+    np = ngram_join.np
+    for n in (2, 9, 40):
+        linked = np.array([[rng.random() < 2 / n for _ in range(n)] for _ in range(n)])
+        linked |= linked.T
+        np.fill_diagonal(linked, False)
+        side = np.array([k % 2 for k in range(n)])
+        edges = set()
+        # The cells of each block, then that of both.
+        for own in (side == 0, side == 1):
+            rows = np.flatnonzero(own)
+            root = ngram_join.spanning(linked[np.ix_(rows, rows)], np.zeros(len(rows), dtype=int))
+            edges |= {(int(rows[k]), int(rows[r])) for k, r in enumerate(root)}
+        both = ngram_join.spanning(linked, side)
+        edges |= {(k, int(r)) for k, r in enumerate(both)}
+        joined = np.zeros((n, n), dtype=bool)
+        for u, v in edges:
+            joined[u, v] = joined[v, u] = u != v
+        assert np.array_equal(ngram_join.linked_roots(joined), ngram_join.linked_roots(linked))
+    # A block each of things that are all alike: one edge.
+    alike = ngram_join.spanning(~np.eye(20, dtype=bool), np.array([0] * 10 + [1] * 10))
+    assert (alike != np.arange(20)).sum() == 1

@@ -79,6 +79,17 @@ def sketches(docs: DataFrame, n: int = N) -> DataFrame:
     return bounded(docs).select("doc_id", sketch.asNondeterministic()("text").alias("s")).select("doc_id", "s.*")
 
 
+def with_sets(docs: DataFrame, n: int, name: str) -> DataFrame:
+    """``docs`` with the sid of each text as column ``name``."""
+
+    @F.arrow_udf(T.LongType())
+    def sid(texts: pa.Array) -> pa.Array:
+        sets = [s for part in slices(texts) for s in shingle_sets(strings(part), n)]
+        return pa.array([_identity(s) if len(s) else None for s in sets], pa.int64())
+
+    return bounded(docs).withColumn(name, sid.asNondeterministic()("text"))
+
+
 def _children(paths: np.ndarray, sketch: np.ndarray, chance: float) -> tuple[np.ndarray, np.ndarray]:
     """Rows and paths of the children: the places that each row's node picks, with the row's tokens there."""
     drawn = mix(paths[:, None] ^ _PLACE_KEY[None, :])
@@ -114,10 +125,23 @@ def _split(rows: DataFrame, roots: list[int] | None, chance: float) -> DataFrame
     return rows.mapInArrow(split, "path long, sid long")
 
 
+def spanning(linked: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """For each row of a cell the row that one edge should go to, or itself. The edges connect what ``linked`` does: in a cell
+    of one block every row goes to the least that it reaches. In a cell of two blocks, whose own cells connect the rows of
+    each, only the least row of what is connected inside a block does. So a large group has an edge for each row, and a
+    few for each two blocks, not an edge for each row and block."""
+    root = linked_roots(linked)
+    if side.any():
+        inside = linked_roots(linked & (side[:, None] == side[None, :]))
+        own = np.arange(len(root))
+        root = np.where(inside == own, root, own)
+    return root
+
+
 def _candidates(table: pa.Table, least: int):
     """Edges of each cell's groups by minhashes: every set to the least that it reaches."""
     starts = group_starts([table.column(k) for k in ("path", "i", "j")])
-    sketch, sid = _matrix(table.column("sketch")), table.column("sid").to_numpy()
+    sketch, sid, side = _matrix(table.column("sketch")), *(table.column(k).to_numpy() for k in ("sid", "side"))
     u, v = [], []
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(sid)]):
         if b - a < 2:
@@ -125,7 +149,7 @@ def _candidates(table: pa.Table, least: int):
         equal = np.zeros((b - a, b - a), dtype=np.uint8)
         for place in range(PLACES):
             equal += sketch[a:b, place][:, None] == sketch[a:b, place][None, :]
-        root = linked_roots(equal >= least)
+        root = spanning(equal >= least, side[a:b])
         moved = np.flatnonzero(root != np.arange(b - a))
         u.append(sid[a:b][moved])
         v.append(sid[a:b][root[moved]])
@@ -183,7 +207,7 @@ def shared_counts(sets: list[np.ndarray], block: int = 1 << 22) -> np.ndarray:
 
 
 def _links(table: pa.Table, n: int, threshold: tuple[int, int]):
-    """Exact links of each cell: of every set the rows it is linked to, and the least set that it reaches."""
+    """Exact links of each cell: of every set the rows it is linked to, and the set that an edge should go to."""
     over, under = threshold
     starts = group_starts([table.column(k) for k in ("component", "i", "j")])
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
@@ -201,23 +225,17 @@ def _links(table: pa.Table, n: int, threshold: tuple[int, int]):
         size = shared.diagonal()
         linked = shared * under >= over * (size[:, None] + size[None, :] - shared)
         np.fill_diagonal(linked, False)
+        root = spanning(linked, side)
         if side.any():
             linked &= side[:, None] != side[None, :]
-        root = linked_roots(linked)
         yield pa.RecordBatch.from_arrays(
             [pa.array(sid), pa.array(sid[root]), pa.array(linked @ copies)], names=["sid", "root", "links"]
         )
 
 
-def ngram_join(docs: DataFrame, n: int = N, threshold: tuple[int, int] = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, class_id, n_links, kept.
-
-    Two rows are linked if the Jaccard similarity of their sets of ``n``-word shingles is at least ``threshold`` (a
-    fraction, compared in whole numbers). n_links counts the other rows linked directly, copies one by one; class_id
-    is the least doc_id that links reach; kept marks the row that stands for the class. Texts of fewer than ``n``
-    words have one shingle; null texts and texts without a word are linked with nothing. A row without doc_id takes no
-    part (class_id null, kept). Rows that repeat both doc_id and text count as rows, and are all marked kept or none.
-    """
+def _classes(docs: DataFrame, n: int, threshold: tuple[int, int], recall: float) -> DataFrame:
+    """Per row of ``docs``: doc_id, sid, component (a number of its class), class_id, n_links; sid, component and n_links are
+    null for rows that take no part."""
     own = staged(sketches(docs.select("doc_id", "text"), n), "sketches")
     usable = own.filter(F.col("doc_id").isNotNull() & F.col("sid").isNotNull())
     reps = usable.groupBy("sid").agg(
@@ -240,11 +258,25 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: tuple[int, int] = THRESHO
     sets = staged(sets.withColumn("component", F.coalesce("component", "sid")), "classes")
     least = sets.groupBy("component").agg(F.min("rep").alias("class_id"))
     sets = sets.join(least, "component").select(
-        F.col("sid").alias("__sid"), "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
-    )
-    rows = own.select("doc_id", "sid").join(
-        sets, (F.col("sid") == F.col("__sid")) & F.col("doc_id").isNotNull(), "left"
+        F.col("sid").alias("__sid"),
+        "component",
+        "class_id",
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
+    on = (F.col("sid") == F.col("__sid")) & F.col("doc_id").isNotNull()
+    return own.select("doc_id", "sid").join(sets, on, "left").drop("__sid")
+
+
+def ngram_join(docs: DataFrame, n: int = N, threshold: tuple[int, int] = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, class_id, n_links, kept.
+
+    Two rows are linked if the Jaccard similarity of their sets of ``n``-word shingles is at least ``threshold`` (a
+    fraction, compared in whole numbers). n_links counts the other rows linked directly, copies one by one; class_id
+    is the least doc_id that links reach; kept marks the row that stands for the class. Texts of fewer than ``n``
+    words have one shingle; null texts and texts without a word are linked with nothing. A row without doc_id takes no
+    part (class_id null, kept). Rows that repeat both doc_id and text count as rows, and are all marked kept or none.
+    """
+    rows = _classes(docs, n, threshold, recall)
     class_id = F.coalesce("class_id", "doc_id")
     return rows.select(
         "doc_id",
@@ -254,20 +286,31 @@ def ngram_join(docs: DataFrame, n: int = N, threshold: tuple[int, int] = THRESHO
     )
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, n: int = N, threshold: tuple[int, int] = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One document of each class of ``ngram_join``, the one of least doc_id; of rows that repeat doc_id and text, one.
-    Columns stay as they are; rows without doc_id stay."""
-    rows = staged(ngram_join(docs).filter(F.col("doc_id").isNotNull()), "classes")
-    gone = rows.filter(~F.col("kept")).select("doc_id").distinct()
-    repeated = rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    gone, repeated = staged(gone, "gone"), staged(repeated, "repeated")
+    Columns stay as they are; rows without doc_id stay.
+
+    Where a doc_id repeats with other texts, each text is decided on by itself: it goes only if another text, or the same
+    one under a smaller doc_id, stands for its class. Of several texts of one doc_id that stand for a class, the one of
+    least set number stays. Texts without a word always stay."""
+    rows = staged(_classes(docs, n, threshold, recall).filter(F.col("doc_id").isNotNull()), "classes")
+    repeated = staged(rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated")
+    gone = rows.filter(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
+    gone = staged(gone.join(repeated, "doc_id", "left_anti"), "gone")
     if gone.count() <= BROADCAST_TEXTS:
         gone = F.broadcast(gone)
-    left = docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    left = docs.join(gone, "doc_id", "left_anti").select(*names)
     if repeated.isEmpty():
         return left
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, "doc_id", "left_anti").unionByName(once)
+    first = rows.filter(F.col("sid").isNotNull()).groupBy("component").agg(F.min(F.struct("doc_id", "sid")).alias("first"))
+    first = staged(first.select("first.*").join(repeated, "doc_id", "left_semi"), "first")
+    texts = with_sets(docs.join(repeated, "doc_id", "left_semi").select(*names), n, "__sid")
+    stands = first.select(F.col("doc_id").alias("__doc_id"), F.col("sid").alias("__first"))
+    found = texts.join(stands, (F.col("doc_id") == F.col("__doc_id")) & (F.col("__sid") == F.col("__first")), "left")
+    stays = found.filter(F.col("__first").isNotNull()).dropDuplicates(["doc_id", "__sid"]).select(*names)
+    wordless = found.filter(F.col("__sid").isNull()).dropDuplicates(["doc_id", "text"]).select(*names)
+    return left.join(repeated, "doc_id", "left_anti").unionByName(stays).unionByName(wordless)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
