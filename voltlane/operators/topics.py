@@ -1,12 +1,13 @@
 """Keyed topics: what is written to them and how a reader sees them. A null value is a tombstone."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlane import schemas as S
 from voltlane.functions.calls import call_elements, iso_text
 from voltlane.operators import blocks as B
-from voltlane.operators import pairing
+from voltlane.operators import pairing, versions
+from voltlane.operators.tables import last_per_key
 
 
 def to_message_log(matched: DataFrame, recover_transaction_id: bool = False) -> DataFrame:
@@ -108,14 +109,59 @@ def to_tombstones(stops: DataFrame, topics: tuple[str, ...] = (S.ACTIVE_TOPIC, S
 
 def compacted_view(records: DataFrame) -> DataFrame:
     """Latest value per topic and key; keys whose latest record is a tombstone are absent."""
-    # At the same offset a tombstone comes last.
-    place = F.struct("offset", F.col("value").isNull())
     latest = records.groupBy("topic", "key").agg(
-        F.max_by(F.struct("value"), place).alias("last"), F.max("offset").alias("offset")
+        F.max_by(F.struct("value"), _place()).alias("last"), F.max("offset").alias("offset")
     )
     return latest.filter(F.col("last.value").isNotNull()).select("topic", "key", "last.value", "offset")
 
 
+def _place() -> Column:
+    # At the same offset a tombstone comes last.
+    return F.struct("offset", F.col("value").isNull())
+
+
+def compact_batch(records: DataFrame, path: str, batch_id: int, buckets: int = versions.BUCKETS) -> bool:
+    """Bring new records of keyed topics into their compacted table at ``path``, once per batch. Only the buckets of the keys
+    that they hold are read and written. Tombstones are kept, so a record that comes again, or late, cannot revive its key."""
+    rows = records.select(F.to_json(F.array("topic", "key")).alias("id"), "topic", "key", "value", "offset")
+
+    def newest(old: DataFrame, new: DataFrame) -> DataFrame:
+        return last_per_key(old.unionByName(new), ["id"], _place())
+
+    return versions.apply_batch(rows, path, batch_id, "id", _place(), buckets=buckets, merge=newest)
+
+
+MARKS = "id STRING, topic STRING, part BIGINT, offset BIGINT"
+
+
+def _part() -> Column:
+    """The partition that an offset belongs to, where readers packed both into one number; else just a class of offsets."""
+    return F.pmod(F.col("offset"), F.lit(S.PARTITIONS))
+
+
+def mark_batch(records: DataFrame, path: str, batch_id: int) -> bool:
+    """Remember how far each partition of each topic has been brought into the compacted table at ``path``."""
+    marks = records.groupBy("topic", _part().alias("part")).agg(F.max("offset").alias("offset"))
+    marks = marks.select(F.to_json(F.array("topic", F.col("part").cast("string"))).alias("id"), "topic", "part", "offset")
+    newest = lambda old, new: last_per_key(old.unionByName(new), ["id"], "offset")
+    return versions.apply_batch(marks, f"{path}/_marks", batch_id, "id", "offset", buckets=1, merge=newest)
+
+
+def newer_records(records: DataFrame, path: str) -> DataFrame:
+    """The records of a whole log beyond the marks of ``mark_batch``. Offsets rise within a partition of a topic; so there
+    are at most as many marks as ``PARTITIONS`` for each topic."""
+    marks = versions.read_versions(records.sparkSession, f"{path}/_marks", empty=MARKS)
+    marks = marks.select(F.col("topic").alias("__topic"), F.col("part").alias("__part"), F.col("offset").alias("__mark"))
+    marked = records.join(F.broadcast(marks), (F.col("topic") == F.col("__topic")) & (_part() == F.col("__part")), "left")
+    return marked.filter(F.col("__mark").isNull() | (F.col("offset") > F.col("__mark"))).select(*records.columns)
+
+
+def compacted_table(spark: SparkSession, path: str) -> DataFrame:
+    """The view of ``compacted_view``, read from the table that ``compact_batch`` keeps."""
+    table = versions.read_versions(spark, path, empty=S.MESSAGE_LOG)
+    return table.filter(F.col("value").isNotNull()).select("topic", "key", "value", "offset")
+
+
 def after_last_tombstone(
     records: DataFrame, rows_per_block: int = B.ROWS_PER_BLOCK, stage: bool = False
 ) -> DataFrame:

@@ -8,6 +8,7 @@ entry, one row per key, without grouping the versions of all batches.
 """
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,10 @@ def read_versions(spark: SparkSession, path: str, as_of: int | None = None, empt
     return _rows(spark, path, _entry(spark, path, found[-1])) if found else spark.createDataFrame([], empty)
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 def apply_batch(
     updates: DataFrame,
     path: str,
@@ -76,8 +81,11 @@ def apply_batch(
     order: str | Column | None = None,
     on_conflict: str = "replace",
     buckets: int = BUCKETS,
+    merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    also: set[int] = frozenset(),
 ) -> bool:
-    """Bring a batch into the table, as ``tables.upsert`` would; False if it, or a later one, was applied before.
+    """Bring a batch into the table, as ``tables.upsert`` would, or ``merge`` of the rows of the touched buckets and the
+    batch's; False if it, or a later one, was applied before. Buckets of ``also`` are written anew in any case.
 
     The first batch sets columns and number of buckets; ``buckets`` should keep a bucket to about a gigabyte. One writer at
     a time: of two that apply the same batch, one fails."""
@@ -90,14 +98,17 @@ def apply_batch(
     columns = spark.createDataFrame([], entry["schema"]).columns
     rest = [c for c in updates.columns if c != key]
     newest = last_per_key(updates.select(*columns), [key], F.struct(*rest) if order is None else order)
-    bucket = F.pmod(F.xxhash64(key), F.lit(entry["of"])).cast("int")
+    bucket = bucket_of(key, entry["of"])
     newest = staged(newest.withColumn("bucket", bucket), "updates")
-    touched = {r["bucket"] for r in newest.select("bucket").distinct().collect()}
-    merged = upsert(_rows(spark, path, entry, touched), newest.drop("bucket"), key, on_conflict)
+    touched = {r["bucket"] for r in newest.select("bucket").distinct().collect()} | also
+    old, new = _rows(spark, path, entry, touched), newest.drop("bucket")
+    merged = upsert(old, new, key, on_conflict) if merge is None else merge(old, new)
     # A task for each bucket; all of a bucket's rows go into its files.
     merged = merged.withColumn("bucket", bucket).repartition(max(1, len(touched)), "bucket")
     merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path.rstrip('/')}/batch={batch_id}")
-    held = entry["buckets"] | {str(b): batch_id for b in touched}
+    # A bucket may have lost all its rows.
+    written = {n.removeprefix("bucket=") for n in files.folders(f"batch={batch_id}") if n.startswith("bucket=")}
+    held = {b: v for b, v in entry["buckets"].items() if int(b) not in touched} | {b: batch_id for b in sorted(written)}
     _commit(spark, files, batch_id, entry | {"buckets": held})
     return True
 

@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltlane.operators import filters, lines, pairing, sessions, topics, tracker
+from voltlane import schemas as S
+from voltlane.operators import filters, lines, pairing, sessions, tables, topics, tracker, versions
 from voltlane.scratch import staged
 from voltlane.sources import logs, messages
 
@@ -38,3 +39,20 @@ def completed_from_log(records: DataFrame, **options) -> DataFrame:
 
 def tracked_from_log(records: DataFrame, **options) -> DataFrame:
     return tracker.track_sessions(messages.decode_payloads(records), **options)
+
+
+def keep_charger_sessions(records: DataFrame, path: str, batch_id: int, **options) -> bool:
+    """The older consumer's sessions into their keyed table, once per batch. A session that the table has, or that the batch
+    has twice, is not replaced: its first row counts, and of several in a batch the highest."""
+    rows = tables.aligned(tracked_from_log(records, **options), S.CHARGER_SESSION)
+    return versions.apply_batch(rows, path, batch_id, on_conflict="skip")
+
+
+def keep_compacted(records: DataFrame, path: str) -> bool:
+    """Bring what a log has gained since the last call into its compacted table. Marks are set last: after a failure before
+    that, records are brought in once more, which changes nothing, as the one of the highest offset counts."""
+    last = versions.applied(records.sparkSession, path)
+    number = 0 if last is None else last + 1
+    new = staged(topics.newer_records(records, path), "new")
+    done = topics.compact_batch(new, path, number)
+    return topics.mark_batch(new, path, number) and done

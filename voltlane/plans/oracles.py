@@ -458,4 +458,20 @@ counted AS (
     FROM calls WHERE file = '20240105')
   UNION ALL SELECT 'reject', 1, 1 FROM junk)
 SELECT status, CAST(sum(n) AS BIGINT) AS n, CAST(sum(lines) AS BIGINT) AS lines FROM counted GROUP BY status""",
+    "compacted_incremental": ALL["compacted_view"],
+    "dead_letter_quoted": f"""WITH {_LINES}
+SELECT chargerId, '"' || uniqueId || '"' AS uniqueId, 'unpaired_request_no_response' AS reason FROM m WHERE event_id % 10 = 0
+UNION ALL SELECT chargerId, '"' || orphanId || '"', 'unpaired_response_no_request' FROM orphans""",
+    "sessions_by_each": f"""WITH {_H}, g AS (
+SELECT *, CAST(date_trunc('day', startTime) AS TIMESTAMP) AS d, CAST(date_trunc('week', startTime) AS TIMESTAMP) AS w FROM history)
+SELECT CASE WHEN grouping(d) = 0 THEN 'day' WHEN grouping(w) = 0 THEN 'week' END AS grain, coalesce(d, w) AS period, stationId,
+  CAST(1 - grouping(stationId) AS INTEGER) AS level, {_TOTALS}
+FROM g GROUP BY GROUPING SETS ((d, stationId), (d), (w, stationId), (w), (stationId), ())""",
+    "history_versions": ALL["history_upsert"],
+    "charger_sessions_kept": ALL["charger_session_table"] + """
+QUALIFY row_number() OVER (PARTITION BY sessionId ORDER BY stationId DESC NULLS LAST, status DESC NULLS LAST,
+  terminationReason DESC NULLS LAST, startTime DESC NULLS LAST, endTime DESC NULLS LAST, duration DESC NULLS LAST,
+  totalEnergyConsumed DESC NULLS LAST, eventCount DESC NULLS LAST) = 1""",
+    "stream_history_once": ALL["stream_history"],
+    "stream_lifecycle_batches": ALL["stream_lifecycle"],
 }

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from voltlane import schemas as S
 from voltlane.operators import epochs, filters, lines, pairing, quality, running, sessions, tables, topics, tracker
 from voltlane.operators import retention as retained
+from voltlane.operators import versions
 from voltlane.plans import jobs, views
 from voltlane.scratch import scratch_folder, staged
 from voltlane.sources import events, history, logs, messages
@@ -172,6 +173,13 @@ def recovered_in_quotes(spark, sf):
     return written.select("key", fields["transactionId"].alias("transactionId")).filter("transactionId is not null")
 
 
+def dead_letter_quoted(spark, sf):
+    """Lone calls with their ids as old dead letters hold them."""
+    letters = topics.to_dead_letter(pairing.outcomes(_parsed(spark, sf)), legacy_quoted_id=True)
+    read = letters.select(F.from_json("value", "chargerId STRING, uniqueId STRING, reason STRING").alias("v")).select("v.*")
+    return read.filter("uniqueId is not null")
+
+
 def dead_letter(spark, sf):
     letters = topics.to_dead_letter(pairing.outcomes(_parsed(spark, sf)))
     fields = "chargerId STRING, uniqueId STRING, line STRING, reason STRING"
@@ -358,6 +366,16 @@ def compacted_view(spark, sf):
     return topics.compacted_view(_live_records(spark, sf)).select("topic", "key", "offset")
 
 
+def compacted_incremental(spark, sf):
+    """Both live topics, whose log grows in four parts; after each the compacted table takes what is new, one part twice."""
+    log = staged(_live_records(spark, sf), "log")
+    path = scratch_folder(spark, "compacted")
+    last = log.agg(F.max("offset")).first()[0]
+    for part in (1, 2, 2, 3, 4):
+        jobs.keep_compacted(log.filter(F.col("offset") <= last * part // 4), path)
+    return topics.compacted_table(spark, path).select("topic", "key", "offset")
+
+
 def raw_after_tombstone(spark, sf):
     rows = topics.after_last_tombstone(_live_records(spark, sf), rows_per_block=1000, stage=True)
     return rows.select("topic", "key", "offset")
@@ -410,6 +428,10 @@ def sessions_by_week(spark, sf):
     return views.sessions_by(_history(spark, sf), "week", ())
 
 
+def sessions_by_each(spark, sf):
+    return views.sessions_by_each(_history(spark, sf), ("day", "week"), ("stationId",))
+
+
 def station_health(spark, sf):
     return views.station_health(messages.decode_status(_records(spark, sf)))
 
@@ -510,6 +532,17 @@ def history_delete(spark, sf):
     return tables.delete_rows(kept, F.col("terminationReason") == "SoftReset").select("sessionId", "terminationReason")
 
 
+def history_versions(spark, sf):
+    """A keyed table that three batches are applied to, the second one twice, of which only the newest files are left."""
+    done = _history_table(spark, sf)
+    path = scratch_folder(spark, "versions")
+    batches = [done.withColumn("terminationReason", F.lit("draft")).filter("duration % 2 = 0"), done, _corrections(done)]
+    for number, rows in [(0, batches[0]), (1, batches[1]), (1, batches[0]), (2, batches[2])]:
+        versions.apply_batch(rows, path, number)
+    versions.vacuum(spark, path)
+    return versions.read_versions(spark, path).select("sessionId", "terminationReason", "eventCount")
+
+
 def history_defaults(spark, sf):
     done = _history(spark, sf).select("sessionId", "stationId", "transactionId", "startTime", "endTime", "duration")
     return tables.aligned(done).select("sessionId", "duration", "terminationReason", "meterStart", "eventCount")
@@ -538,6 +571,14 @@ def charger_session_table(spark, sf):
     return tables.aligned(tracked, S.CHARGER_SESSION)
 
 
+def charger_sessions_kept(spark, sf):
+    """The same with one row per session, applied as a batch that is repeated."""
+    path = scratch_folder(spark, "charger-sessions")
+    for _ in range(2):
+        jobs.keep_charger_sessions(_records(spark, sf), path, 0)
+    return versions.read_versions(spark, path)
+
+
 # Quality checks
 
 
@@ -598,6 +639,16 @@ def stream_history(spark, sf):
     return history.read_history(spark, _session_job(spark, sf) + "/history")
 
 
+def stream_history_once(spark, sf):
+    """The live job into a keyed table, each batch applied once; the table holds one row per session."""
+    out = scratch_folder(spark, "live")
+    stream = _typed_stream(spark, _topic_files(spark, sf, 4), maxFilesPerTrigger=2)
+    job.use_rocksdb(spark)
+    sinks = job.file_sinks(out) | {"history": job.versioned_sink(out + "/versions", buckets=8)}
+    job.start_sessions(stream, sinks, out + "/checkpoint", availableNow=True).awaitTermination()
+    return versions.read_versions(spark, out + "/versions")
+
+
 def stream_active(spark, sf):
     live = views.active_overview(spark.read.parquet(_session_job(spark, sf) + "/live"))
     return live.withColumns({c: F.col(c).cast("timestamp") for c in ("startTime", "lastSeen")})
@@ -618,6 +669,21 @@ def stream_lifecycle(spark, sf):
     return done.join(late, "sessionId", "left").withColumn("late", F.coalesce("late", F.lit(0)))
 
 
+def stream_lifecycle_batches(spark, sf):
+    """The same parts through the job that keeps sessions in a keyed table."""
+    folder, out = scratch_folder(spark, "topic"), scratch_folder(spark, "lifecycle")
+    records = _records(spark, sf)
+    for part in range(4):
+        arrived = records.filter(F.floor((F.dayofmonth("timestamp") - 1) / 8) == part)
+        arrived.write.mode("append").parquet(folder)
+        start = job.start_lifecycle_in_batches
+        stream = _typed_stream(spark, folder)
+        start(stream, job.file_sinks(out), out + "/state", out + "/checkpoint", buckets=8, availableNow=True).awaitTermination()
+    done = history.read_history(spark, out + "/history").select("sessionId", "startTime", "endTime", "eventCount")
+    late = spark.read.parquet(out + "/late").groupBy(F.col("key").alias("sessionId")).agg(F.count("*").alias("late"))
+    return done.join(late, "sessionId", "left").withColumn("late", F.coalesce("late", F.lit(0)))
+
+
 def _ingested(spark, sf) -> str:
     """The log as a stream to both topics; the arrival time of a line is that of its event, and a last line much later
     lets all the others out."""
@@ -712,7 +778,8 @@ ALL = [
     dq_energy, dq_duration, dq_exclusive, dq_status, stream_history, stream_active, stream_lifecycle,
     stream_pairs, stream_dead_letters, completed_from_mixed, status_from_mixed, number_kinds, epochs_of_partitions,
     recovered_in_quotes, history_upsert_repeated, history_by_day, history_plain, retention_purged,
-    stream_log_pairs, stream_log_accounted,
+    stream_log_pairs, stream_log_accounted, compacted_incremental, dead_letter_quoted, sessions_by_each,
+    history_versions, charger_sessions_kept, stream_history_once, stream_lifecycle_batches,
 ]
 
 

@@ -51,6 +51,27 @@ def sessions_by(history: DataFrame, grain: str = "day", dims: tuple[str, ...] =
     return history.groupBy(F.date_trunc(grain, "startTime").alias("period"), *dims).agg(*_session_totals())
 
 
+def sessions_by_each(history: DataFrame, grains: tuple[str, ...] = ("day", "week"), dims: tuple[str, ...] = ("stationId",)) -> DataFrame:
+    """Totals at several grains, each by ``dims`` and over all of them, and over all time, in one pass by grouping sets.
+
+    ``grain`` names the grain of a row (null: all time), ``period`` its start; a dimension that a row sums over is null, and
+    ``level`` says how many of the dimensions it keeps."""
+    rows = history.withColumns({f"__{g}": F.date_trunc(g, "startTime") for g in grains})
+    columns = [f"__{g}" for g in grains]
+    sets = [[*period, *kept] for period in ([c] for c in columns) for kept in (list(dims), [])] + [list(dims), []]
+    grouped = rows.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in [*columns, *dims]])
+    flags = [F.grouping(c).alias(f"__no_{c}") for c in [*columns, *dims]]
+    found = grouped.agg(*flags, *_session_totals())
+    held = lambda c: F.col(f"__no_{c}") == 0
+    return found.select(
+        F.coalesce(*[F.when(held(f"__{g}"), F.lit(g)) for g in grains], F.lit(None)).alias("grain"),
+        F.coalesce(*columns, F.lit(None)).alias("period"),
+        *dims,
+        sum((held(d).cast("int") for d in dims), F.lit(0)).alias("level"),
+        *[c for c in found.columns if c not in [*columns, *dims] and not c.startswith("__no_")],
+    )
+
+
 def _session_totals():
     return [
         F.count("*").alias("sessions"),

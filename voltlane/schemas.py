@@ -56,6 +56,10 @@ _PAYLOAD = (
 )
 PAYLOAD = _PAYLOAD.format(SAMPLE)
 FULL_PAYLOAD = _PAYLOAD.format(FULL_SAMPLE)
+STATUS_PAYLOAD = "connectorId VARIANT, status STRING, errorCode STRING, vendorErrorCode STRING, timestamp STRING"
+
+# More partitions than a topic has.
+PARTITIONS = 4096
 
 MESSAGE_LOG = "topic STRING, key STRING, value STRING, offset BIGINT, timestamp TIMESTAMP"
 PARTITIONED_LOG = MESSAGE_LOG + ", partition INT"

@@ -1,5 +1,8 @@
 """Message topics: Kafka where its connector is installed, or the same rows kept as files."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,9 +10,7 @@ from voltlane import schemas as S
 from voltlane.functions import calls as C
 from voltlane.functions.literals import literal_to_json
 
-
-# More partitions than a topic has.
-PARTITIONS = 4096
+PARTITIONS = S.PARTITIONS
 
 
 def _arrival(records: DataFrame) -> DataFrame:
@@ -57,18 +58,23 @@ def decode_envelope(records: DataFrame) -> DataFrame:
     )
 
 
-def decode_calls(records: DataFrame, python_literals: bool = True, session_only: bool = False) -> DataFrame:
+def decode_calls(
+    records: DataFrame, python_literals: bool = True, session_only: bool = False, actions: list[str] | None = None
+) -> DataFrame:
     """Records to one row per decodable call: header columns and the payload as text, not parsed.
 
     Calls of fewer than three elements are dropped. Calls stored as Python literals, with True, False or None in them,
-    are read too; ``python_literals=False`` drops them. ``session_only`` keeps the four session actions."""
+    are read too; ``python_literals=False`` drops them. ``session_only`` keeps the four session actions, ``actions`` those
+    named, before payloads are parsed."""
     calls = decode_envelope(records)
-    if session_only:
+    actions = S.SESSION_ACTIONS if session_only else actions
+    if actions is not None:
         # Cheap test before any JSON parse. An action may also be spelt with escapes or, in a Python literal, in
         # adjacent pieces; such texts stay in and are parsed.
         text = F.col("message")
         spelt = text.rlike(r"""[\\#]|["']\s*["']""")
-        calls = calls.filter(text.contains("MeterValues") | text.contains("Transaction") | spelt)
+        named = [text.contains(part) for part in (["MeterValues", "Transaction"] if session_only else actions)]
+        calls = calls.filter(reduce(or_, named) | spelt)
     calls = C.evaluate_once(calls, call=C.call_elements(F.col("message")))
     if python_literals:
         text = literal_to_json(F.when(F.col("call").isNull(), F.col("message")))
@@ -76,8 +82,8 @@ def decode_calls(records: DataFrame, python_literals: bool = True, session_only:
         read = F.coalesce("call", C.call_elements(F.col("literal")))
         calls = C.evaluate_once(calls, read=read).drop("call", "literal").withColumnRenamed("read", "call")
     calls = calls.filter(F.size("call") >= 3).withColumn("action", F.get("call", F.lit(2)))
-    if session_only:
-        calls = calls.filter(F.col("action").isin(S.SESSION_ACTIONS))
+    if actions is not None:
+        calls = calls.filter(F.col("action").isin(actions))
     body = F.coalesce(F.get("call", F.lit(3)), F.lit("{}"))
     return calls.withColumn("payload", body).drop("call")
 
@@ -134,12 +140,13 @@ def decode_messages(
 
 
 def decode_status(records: DataFrame) -> DataFrame:
-    """StatusNotification calls as columns."""
-    calls = decode_payloads(records)
+    """StatusNotification calls as columns. Of the other calls only the header is parsed, of these the fields used."""
+    calls = decode_calls(records, actions=[S.STATUS])
+    calls = calls.select("chargerId", "offset", F.inline(F.array(C.payload_struct(F.col("payload"), S.STATUS_PAYLOAD))))
     stamp = C.event_time(C.utc_text(F.col("timestamp")))
-    return calls.filter(F.col("action") == S.STATUS).select(
+    return calls.select(
         "chargerId",
-        C.whole_number(F.col("connectorId"), "int").alias("connectorId"),
+        C.whole_number(C.number_text(F.col("connectorId")), "int").alias("connectorId"),
         "status",
         "errorCode",
         "vendorErrorCode",

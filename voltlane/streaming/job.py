@@ -7,7 +7,7 @@ from voltlane import schemas as S
 from voltlane.functions.calls import session_id
 from voltlane.operators import running, sessions, tables, topics, versions
 from voltlane.operators.sessions import GROUP
-from voltlane.streaming import lifecycle
+from voltlane.streaming import batches, lifecycle
 
 # How long a continuous run remembers closed sessions, and sessions that fall silent.
 CLOSED_MS, IDLE_MS = 24 * 3600 * 1000, 7 * 24 * 3600 * 1000
@@ -192,3 +192,28 @@ def start_lifecycle(
     stream = lifecycle.session_lifecycle(messages, closed_ms, idle_ms)
     writer = stream.writeStream.outputMode("append").foreachBatch(sink)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def start_lifecycle_in_batches(
+    messages: DataFrame,
+    sinks: dict,
+    state: str,
+    checkpoint: str,
+    closed_ms: int = CLOSED_MS,
+    idle_ms: int = IDLE_MS,
+    buckets: int = versions.BUCKETS,
+    **trigger,
+):
+    """The outputs of ``start_lifecycle``, with the sessions in a keyed table at ``state`` instead of a state store: no
+    Python, no task per session, and bounded however it is triggered. A session is forgotten some batches after its time
+    is over, as each batch looks over one of the ``buckets``."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            batches.run_batch(batch, sinks, state, batch_id, closed_ms, idle_ms, buckets)
+        finally:
+            batch.unpersist()
+
+    writer = messages.drop("message").writeStream.outputMode("append").foreachBatch(sink)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
