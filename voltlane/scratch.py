@@ -1,5 +1,6 @@
 """Where intermediate tables go: the shared folder the cluster names in spark.checkpoint.dir."""
 
+import gc
 import tempfile
 import uuid
 from functools import cache
@@ -40,6 +41,26 @@ def clear_scratch(spark: SparkSession) -> int:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back, so later branches share one result that a lost executor
     cannot change."""
+    return staged_at(df, label)[0]
+
+
+def staged_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``staged``, and the folder, for ``discard``."""
     path = scratch_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``staged_at`` that nothing reads any more, not even to replace a lost result."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    if path in _MADE:
+        _MADE.remove(path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished queries deleted. Spark does so once nothing in the driver refers to a query any
+    more, but notices only when the driver's memory is collected; many small queries in a row pile their files up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
