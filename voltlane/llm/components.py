@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltlane.scratch import staged
+from voltlane.scratch import discard, free_shuffles, staged_at
 
 ROUNDS = 60
 
@@ -29,12 +29,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tidy: bool = False) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (u, v), whole numbers; a component is its least node.
 
     Edges are table rows throughout, no list of neighbours is built, and each round is written to the shared folder.
-    The least neighbours are partial aggregates; a node with many neighbours makes a skewed join, which Spark splits."""
-    edges = staged(
+    The least neighbours are partial aggregates; a node with many neighbours makes a skewed join, which Spark splits.
+    ``tidy`` deletes a round once the next one is written, and the shuffle files of both."""
+    spark = edges.sparkSession
+    edges, path = staged_at(
         edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
     )
     before = None
@@ -43,7 +45,11 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before or state[0] == 0:
             break
         before = state
-        edges = staged(_small_star(_large_star(edges)), "stars")
+        edges, last = staged_at(_small_star(_large_star(edges)), "stars")
+        if tidy:
+            discard(spark, path)
+            free_shuffles(spark)
+        path = last
     else:
         raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
