@@ -67,6 +67,9 @@ def main():
         started = start(jobs.typed_sessions(source), job.file_sinks(out), out + "/checkpoint", availableNow=True)
         started.awaitTermination()
 
+    def stream_in_batches(stream, sinks, checkpoint, **trigger):
+        return job.start_lifecycle_in_batches(stream, sinks, checkpoint + "-state", checkpoint, buckets=CPUS, **trigger)
+
     timed = {
         "decode_typed": lambda: messages.decode_messages(topic()),
         "pairs": lambda: pairing.match_calls(parsed()),
@@ -81,6 +84,7 @@ def main():
         "sessions_by_day_station": lambda: views.sessions_by(sessions.completed_sessions(typed())),
         "stream_sessions": lambda: stream(job.start_sessions),
         "stream_lifecycle": lambda: stream(job.start_lifecycle),
+        "stream_lifecycle_batches": lambda: stream(stream_in_batches),
     }
     seconds = {}
     for name, run in timed.items():
