@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
+from voltlane.llm import components as module
 from voltlane.llm.components import components
 
 
@@ -34,3 +36,22 @@ def test_components(spark, edges):
     found = components(spark.createDataFrame(edges * 2, "u long, v long")).collect()
     assert {r.node: r.component for r in found} == expected(edges)
     assert len(found) == len(expected(edges))
+
+
+@pytest.mark.parametrize("part", [1, 7])
+def test_components_over_parts_of_the_edges(spark, monkeypatch, part):
+    """Stars of a few edges at a time leave most of the work to the rounds."""
+    monkeypatch.setattr(module, "PART", part)
+    rng = random.Random(part)
+    edges = [(k, k + 1) for k in range(40)] + [(rng.randrange(100, 180), rng.randrange(100, 180)) for _ in range(60)]
+    rng.shuffle(edges)
+    table = spark.createDataFrame(edges, "u long, v long").repartition(5)
+    assert {r.node: r.component for r in components(table).collect()} == expected(edges)
+
+
+def test_roots():
+    rng = np.random.default_rng(3)
+    for nodes, edges in ((1, 0), (50, 10), (50, 60), (2000, 1500)):
+        a, b = rng.integers(0, nodes, (2, edges))
+        root, wanted = module._roots(a, b, nodes), expected([*zip(a.tolist(), b.tolist())])
+        assert root.tolist() == [wanted.get(k, k) for k in range(nodes)]
