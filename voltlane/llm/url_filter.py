@@ -127,10 +127,13 @@ def captures_of(pages: DataFrame) -> DataFrame:
 
 
 def entries_of(pages: DataFrame) -> DataFrame:
-    """A block list and an allow list of the pages' hosts, domains and first segments, on and off on several days."""
+    """A block list and an allow list of the pages' hosts, domains, first segments, whole paths and these less their last
+    segment, on and off on several days."""
     named = pages.select("page_id", host().alias("host"), segments().alias("segments")).filter("host <> ''")
     domain = F.when(F.size(F.split("host", r"\.")) > 3, F.expr("substr(host, instr(host, '.') + 1)")).otherwise(F.col("host"))
     first = F.concat("host", F.lit("/"), F.coalesce(F.get("segments", F.lit(0)), F.lit("")))
+    above = F.slice("segments", F.lit(1), F.greatest(F.size("segments") - 1, F.lit(1)))
+    above, whole = (F.concat("host", F.lit("/"), F.array_join(s, "/")) for s in (above, F.col("segments")))
 
     def some(every: int, kind: str, pattern: Column, added: bool, day: Column) -> Column:
         entry = F.struct(
@@ -144,6 +147,9 @@ def entries_of(pages: DataFrame) -> DataFrame:
         some(11, "block", domain, True, _day(13, 366)),
         some(13, "allow", first, True, _day(29, 300)),
         some(17, "allow", first, False, _day(37, 366)),
+        some(19, "block", whole, True, _day(23, 300)),
+        some(23, "allow", above, True, _day(41, 300)),
+        some(29, "allow", above, False, _day(43, 366)),
     )
     return named.select(F.explode(F.array_compact(entries)).alias("e")).select("e.*")
 
@@ -162,21 +168,25 @@ WITH named AS (
 parts AS (
   SELECT *, string_split(host, '.') AS labels,
     CASE WHEN len(string_split(host, '.')) > 3 THEN substr(host, instr(host, '.') + 1) ELSE host END AS domain,
-    host || '/' || coalesce(segs[1], '') AS first
+    host || '/' || coalesce(segs[1], '') AS first, host || '/' || array_to_string(segs, '/') AS whole,
+    host || '/' || array_to_string(segs[1:greatest(len(segs) - 1, 1)], '/') AS above
   FROM named),
 entries AS (
   SELECT 'block' AS list, host AS pattern, true AS added, DATE '2024-01-01' + CAST(page_id * 31 % 300 AS INTEGER) AS day FROM parts WHERE host <> '' AND page_id % 5 = 0
   UNION ALL SELECT 'block', host, false, DATE '2024-01-01' + CAST(page_id * 17 % 366 AS INTEGER) FROM parts WHERE host <> '' AND page_id % 7 = 0
   UNION ALL SELECT 'block', domain, true, DATE '2024-01-01' + CAST(page_id * 13 % 366 AS INTEGER) FROM parts WHERE host <> '' AND page_id % 11 = 0
   UNION ALL SELECT 'allow', first, true, DATE '2024-01-01' + CAST(page_id * 29 % 300 AS INTEGER) FROM parts WHERE host <> '' AND page_id % 13 = 0
-  UNION ALL SELECT 'allow', first, false, DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) FROM parts WHERE host <> '' AND page_id % 17 = 0),
+  UNION ALL SELECT 'allow', first, false, DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) FROM parts WHERE host <> '' AND page_id % 17 = 0
+  UNION ALL SELECT 'block', whole, true, DATE '2024-01-01' + CAST(page_id * 23 % 300 AS INTEGER) FROM parts WHERE host <> '' AND page_id % 19 = 0
+  UNION ALL SELECT 'allow', above, true, DATE '2024-01-01' + CAST(page_id * 41 % 300 AS INTEGER) FROM parts WHERE host <> '' AND page_id % 23 = 0
+  UNION ALL SELECT 'allow', above, false, DATE '2024-01-01' + CAST(page_id * 43 % 366 AS INTEGER) FROM parts WHERE host <> '' AND page_id % 29 = 0),
 days AS (SELECT list, pattern, day, bool_and(added) AS added FROM entries GROUP BY ALL),
 state AS (
   SELECT c.page_id, c.list, c.pattern, arg_max(d.added, d.day) AS is_on
   FROM (SELECT DISTINCT p.page_id, p.fetched_on, e.list, e.pattern
         FROM (SELECT page_id, fetched_on, unnest(list_distinct(list_concat(
                 [host], [array_to_string(labels[i:], '.') FOR i IN range(1, greatest(len(labels), 2))],
-                [host || '/' || array_to_string(segs[1:k], '/') FOR k IN range(1, least(len(segs), 3) + 1)],
+                [host || '/' || array_to_string(segs[1:k], '/') FOR k IN range(1, len(segs) + 1)],
                 [host || '/' || array_to_string(segs, '/')]))) AS pattern
               FROM parts WHERE host <> '') p
         JOIN (SELECT DISTINCT list, pattern FROM days) e ON e.pattern = p.pattern) c
