@@ -159,3 +159,37 @@ def test_ingest_at_once_writes_three_topics(spark, tmp_path):
     assert len(out["dead"]) == 3 + 0 and len(out["late"]) == 4
     with pytest.raises(ValueError):
         live.start_ingest(parsed, sinks, "x", late_after="1 day")
+
+
+def test_lines_are_parsed_once_however_often_a_stream_reads_them(spark, tmp_path):
+    folder, kept, out = tmp_path / "in", str(tmp_path / "kept"), str(tmp_path / "out")
+    write(folder, "a.txt", FILES["a.txt"])
+    write(folder, "b.txt", FILES["b.txt"], age=7 * 86400)
+    write(folder, "closing.txt", CLOSING)
+    parsed = lines.parse_lines(logs.read_log_stream(spark, str(folder)))
+    logs.keep_parsed(parsed, kept, kept + "-cp", availableNow=True).awaitTermination()
+    day = F.when(F.col("file").contains("closing"), 1).otherwise(0)
+    again = logs.read_parsed_stream(spark, kept, clock=F.current_timestamp() + F.make_dt_interval(day))
+    assert set(again.columns) == set(parsed.columns)
+    joined = live.join_stream(again, late_after="2 days")
+    # The join reads its lines four times; none of them goes to the parser, or to Python, again.
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "literal_to_json" not in plan and "from_json" not in plan
+    writer = joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-cp")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    rows = [r for r in spark.read.parquet(out).collect() if r.chargerId != "clock"]
+    assert Counter(r.status for r in rows) == {"pair": 4, "reject": 1, "unpaired_request": 1, "unpaired_response": 1, "late": 4}
+    read = logs.read_log(spark, str(folder)).filter(~F.col("file").contains("closing"))
+    assert len({(p.file, p.ord) for r in rows for p in r.places}) == read.count()
+
+
+def test_the_query_parses_each_line_in_one_stream_alone(spark, tmp_path, monkeypatch):
+    from voltlane.plans import queries
+
+    row = "id event_id, timestamp'2024-01-05 10:00:00' ts, 1L user_id, 'view' event_type, 1.0D value, '{\"k\":1}' props"
+    spark.sql(f"select {row} from range(40)").write.parquet(str(tmp_path / "events.parquet"))
+    plans, parse = [], lines.parse_lines
+    monkeypatch.setattr(queries.lines, "parse_lines", lambda df, *a, **k: plans.append(df) or parse(df, *a, **k))
+    stream = queries._live_log(spark, str(tmp_path))
+    assert len(plans) == 1 and stream.isStreaming
+    assert "literal_to_json" not in stream._jdf.queryExecution().analyzed().toString()

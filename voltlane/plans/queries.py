@@ -719,8 +719,8 @@ def stream_dead_letters(spark, sf):
 
 
 def _live_log(spark, sf, old: str | None = None):
-    """The charger log as text files, one folder per day, and its parsed lines as a stream. A last line, a day later, lets
-    all the others out. ``old`` is a day whose files are a week old."""
+    """The charger log as text files, one folder per day, and its lines, parsed once by a stream, as a stream. A last line,
+    a day later, lets all the others out. ``old`` is a day whose files are a week old."""
     folder = _written_log(spark, sf)
     closing = F.lit('clock : [2,"last","Heartbeat",{}]')
     spark.range(1).select(closing).write.text(f"{folder}/file=closing")
@@ -728,9 +728,11 @@ def _live_log(spark, sf, old: str | None = None):
         files = retained.Files(spark, folder)
         for status in files.system.listStatus(files.at(f"file={old}")):
             files.system.setTimes(status.getPath(), status.getModificationTime() - 7 * 86_400_000, -1)
-    day = F.when(F.col("_metadata.file_path").contains("closing"), 1).otherwise(0)
-    clock = F.current_timestamp() + F.make_dt_interval(day)
-    return lines.parse_lines(logs.read_log_stream(spark, folder, clock=clock))
+    kept = scratch_folder(spark, "parsed")
+    parsed = lines.parse_lines(logs.read_log_stream(spark, folder))
+    logs.keep_parsed(parsed, kept, kept + "-checkpoint", availableNow=True).awaitTermination()
+    day = F.when(F.col("file").contains("closing"), 1).otherwise(0)
+    return logs.read_parsed_stream(spark, kept, clock=F.current_timestamp() + F.make_dt_interval(day))
 
 
 def stream_log_pairs(spark, sf):
@@ -751,12 +753,15 @@ def stream_log_accounted(spark, sf):
     out = scratch_folder(spark, "joined")
     live_pairing.use_one_clock(spark)
     job.use_rocksdb(spark)
+    # Counting the rows of the state looks each key up once more when it is written.
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
     try:
         joined = live_pairing.join_stream(_live_log(spark, sf, old="20240105"), late_after="2 days")
         writer = joined.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-checkpoint")
         writer.trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.unset("spark.sql.streaming.multipleWatermarkPolicy")
+        spark.conf.unset("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows")
     rows = spark.read.parquet(out).filter("chargerId is null or chargerId <> 'clock'")
     places = rows.select("status", F.explode("places").alias("place")).distinct().groupBy("status")
     return rows.groupBy("status").agg(F.count("*").alias("n")).join(places.agg(F.count("*").alias("lines")), "status")

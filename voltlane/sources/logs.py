@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+PARSED = (
+    "file STRING, ord STRUCT<block: BIGINT, line: BIGINT>, written TIMESTAMP, line STRING, chargerId STRING, kind STRING, "
+    "uniqueId STRING, message STRING, elements INT, reason STRING"
+)
+
 
 def _content(line: Column) -> Column:
     return F.trim(line, F.lit(" \t\r\n\f\x0b"))
@@ -74,3 +79,17 @@ def read_log_stream(spark: SparkSession, folder: str, clock: Column | None = Non
     return content_lines(
         lines.select("file", F.struct("block", number.alias("line")).alias("ord"), "written", "arrival", "line")
     )
+
+
+def keep_parsed(parsed: DataFrame, folder: str, checkpoint: str, **trigger):
+    """Starts a query that writes the parsed lines of ``read_log_stream`` to a folder, once each, for a stream that reads
+    them several times: each branch of a streaming query reads its source anew, and would parse every line again."""
+    writer = parsed.drop("arrival").writeStream.format("parquet").option("path", folder)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def read_parsed_stream(spark: SparkSession, folder: str, clock: Column | None = None) -> DataFrame:
+    """The lines of ``keep_parsed`` as they arrive, with ``arrival`` as in ``read_log_stream``: the time of this stream's
+    batch, not of the one that parsed them."""
+    lines = spark.readStream.schema(PARSED).parquet(folder)
+    return lines.withColumn("arrival", F.current_timestamp() if clock is None else clock)

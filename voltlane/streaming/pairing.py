@@ -88,23 +88,28 @@ def join_stream(
             return F.lit(False)
         return F.coalesce(F.col("written") < F.col("arrival") - F.expr(f"INTERVAL {late_after}"), F.lit(False))
 
+    keys = _scope(parsed, pair_scope)
+
     def side(df: DataFrame, kind: str, name: str) -> DataFrame:
-        """Of one kind, under names of its own."""
+        """Of one kind, under names of its own. The name of the file, long and in the state's keys several times, stands once
+        in a row of the state; the key has its hash."""
         rows = df.filter((F.col("kind") == kind) & ~late(df)).withWatermark("arrival", "0 seconds")
-        place = F.struct(*[c for c in ("file", "ord") if c in df.columns])
         return rows.select(
-            *[F.col(k).alias(f"{name}_{k}") for k in _scope(df, pair_scope)],
-            F.col("arrival").alias(f"{name}_arrival"),
+            F.xxhash64("file" if "file" in keys else F.lit(0)).alias(f"{name}_hash"),
+            *[F.col(c).alias(f"{name}_{c}") for c in ("uniqueId", "arrival", "file", "ord") if c in df.columns],
             F.struct("chargerId", "message").alias(name),
-            place.alias(f"{name}Place"),
         )
 
+    def place_of(df: DataFrame, name: str) -> Column:
+        at = [F.col(f"{name}_{c}").alias(c) for c in ("file", "ord") if c in df.columns]
+        return F.when(F.col(name).isNotNull(), F.struct(*at))
+
     left, right = side(both[-1], "request", "req"), side(parsed, "response", "resp")
-    same = [F.col(f"req_{k}") == F.col(f"resp_{k}") for k in _scope(parsed, pair_scope)]
-    near = F.col("resp_arrival").between(F.col("req_arrival") - wait_, F.col("req_arrival") + wait_)
-    on = near
-    for condition in same:
-        on = condition & on
+    on = (F.col("req_hash") == F.col("resp_hash")) & (F.col("req_uniqueId") == F.col("resp_uniqueId"))
+    if "file" in keys:
+        # The same file, not only its hash; said so that it does not become a key.
+        on = on & F.col("req_file").between(F.col("resp_file"), F.col("resp_file"))
+    on = on & F.col("resp_arrival").between(F.col("req_arrival") - wait_, F.col("req_arrival") + wait_)
     status = pairing.status_of(F.col("req"), F.col("resp"))
     joined = left.join(right, on, "full_outer").select(
         F.coalesce("req_uniqueId", "resp_uniqueId").alias("uniqueId"),
@@ -114,7 +119,7 @@ def join_stream(
         F.lit(None).cast("string").alias("line"),
         status.alias("status"),
         _reason(status).alias("reason"),
-        F.filter(F.array("reqPlace", "respPlace"), lambda p: p.isNotNull()).alias("places"),
+        F.filter(F.array(place_of(both[-1], "req"), place_of(parsed, "resp")), lambda p: p.isNotNull()).alias("places"),
     )
 
     def alone(df: DataFrame, rows: Column, status: str) -> DataFrame:
