@@ -3,7 +3,6 @@
 import json
 from datetime import datetime
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor
@@ -31,47 +30,41 @@ _LEAST = ("startTime", "socStart")
 _SUMS = ("eventCount", "runningCount", "powerSum", "powerCount", "voltageSum", "voltageCount")
 
 
-def _present(values):
-    """The values that are there, as Python scalars; pandas turns a missing number into NaN."""
+def _known(values) -> list:
+    """The values that are there; pandas turns a missing number into NaN."""
     return [v for v in values if v is not None and v == v]
 
 
-def _known(rows: pd.DataFrame, column: str, where=None) -> np.ndarray:
-    """Numbers of a column, without the missing ones."""
-    values = rows[column].to_numpy(dtype="float64", na_value=np.nan)
-    values = values if where is None else values[where]
-    return values[~np.isnan(values)]
-
-
 def _most(values, kind=float):
-    return kind(values.max()) if len(values) else None
+    return kind(max(values)) if values else None
 
 
-def _summary(rows: pd.DataFrame) -> dict:
-    """Aggregates of a chunk of one session's messages."""
-    action = rows["action"].to_numpy()
-    times = rows["eventTime"]
-    started, stopped, is_stop = action == S.START, action == S.STOP, rows["isStop"].to_numpy(dtype=bool)
-    power, voltage, soc = _known(rows, "power"), _known(rows, "voltage"), _known(rows, "soc")
+def _summary(columns: dict[str, tuple]) -> dict:
+    """Aggregates of a chunk of one session's messages, given as columns. Most sessions have a few messages in a batch, for
+    which plain Python takes a small part of the time that pandas takes."""
+    action, times = columns["action"], columns["eventTime"]
+    power, voltage, soc = (_known(columns[c]) for c in ("power", "voltage", "soc"))
+    of = lambda kind, c: _known(v for v, a in zip(columns[c], action) if a == kind)
+    stops = [t for t, is_stop in zip(times, columns["isStop"]) if is_stop]
     return {
-        "startTime": times.min().to_pydatetime(),
-        "endTime": times[is_stop].max().to_pydatetime() if is_stop.any() else None,
-        "latest": times.max().to_pydatetime(),
-        "eventCount": len(rows),
-        "runningCount": int((action == S.METER).sum()),
-        "powerSum": float(power.sum()),
+        "startTime": min(times).to_pydatetime(),
+        "endTime": max(stops).to_pydatetime() if stops else None,
+        "latest": max(times).to_pydatetime(),
+        "eventCount": len(times),
+        "runningCount": action.count(S.METER),
+        "powerSum": float(sum(power)),
         "powerCount": len(power),
         "maxPower": _most(power),
-        "socStart": float(soc.min()) if len(soc) else None,
+        "socStart": float(min(soc)) if soc else None,
         "socEnd": _most(soc),
-        "voltageSum": float(voltage.sum()),
+        "voltageSum": float(sum(voltage)),
         "voltageCount": len(voltage),
-        "meterStart": _most(_known(rows, "meterStart", started), int),
-        "meterStop": _most(_known(rows, "meterStop", stopped), int),
-        "connectorId": _most(_known(rows, "connectorId", started), int),
-        "idTag": max(_present(rows["idTag"][started]), default=None),
-        "terminationReason": max(_present(rows["reason"][stopped]), default=None),
-        "lastOffset": int(rows["offset"].max()),
+        "meterStart": _most(of(S.START, "meterStart"), int),
+        "meterStop": _most(of(S.STOP, "meterStop"), int),
+        "connectorId": _most(of(S.START, "connectorId"), int),
+        "idTag": _most(of(S.START, "idTag"), str),
+        "terminationReason": _most(of(S.STOP, "reason"), str),
+        "lastOffset": int(max(columns["offset"])),
     }
 
 
@@ -102,9 +95,13 @@ class SessionLifecycle(StatefulProcessor):
         return [(kind, key[0], state["chargerId"], state["transactionId"], state["lastOffset"], text)]
 
     @staticmethod
-    def _messages(kind, key, rows):
-        columns = [rows[c].tolist() for c in ("chargerId", "transactionId", "offset", "value")]
-        return [(kind, key[0], *values) for values in zip(*columns)]
+    def _messages(kind, key, columns, stops=True):
+        rows = zip(*(columns[c] for c in ("isStop", "chargerId", "transactionId", "offset", "value")))
+        return [(kind, key[0], *values) for is_stop, *values in rows if stops or not is_stop]
+
+    @staticmethod
+    def _columns(chunk):
+        return dict(zip(chunk.columns, zip(*chunk.itertuples(index=False, name=None))))
 
     @staticmethod
     def _frame(rows):
@@ -116,18 +113,20 @@ class SessionLifecycle(StatefulProcessor):
         self.handle.registerTimer(at)
 
     def handleInputRows(self, key, rows, timerValues):
-        state = dict(zip(_FIELDS, self.state.get())) if self.state.exists() else dict.fromkeys(_FIELDS)
+        held = self.state.get()
+        state = dict.fromkeys(_FIELDS) if held is None else dict(zip(_FIELDS, held))
         if state["closed"]:
             for chunk in rows:
-                yield self._frame(self._messages("late", key, chunk))
+                yield self._frame(self._messages("late", key, self._columns(chunk)))
             return
         waiting = []
         for chunk in rows:
             if waiting:
                 yield self._frame(waiting)
-            waiting = self._messages("raw", key, chunk[~chunk["isStop"]])
-            state["chargerId"], state["transactionId"] = chunk["chargerId"].iloc[0], chunk["transactionId"].iloc[0]
-            for name, value in _summary(chunk).items():
+            columns = self._columns(chunk)
+            waiting = self._messages("raw", key, columns, stops=False)
+            state["chargerId"], state["transactionId"] = columns["chargerId"][0], columns["transactionId"][0]
+            for name, value in _summary(columns).items():
                 state[name] = _merge(name, state[name], value)
         if state["voltageCount"]:
             state["voltageAvg"] = state["voltageSum"] / state["voltageCount"]
