@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from voltlane.llm.arrow import bounded, group_starts
 from voltlane.llm.bits import near_edges
-from voltlane.llm.cells import compared, dealt, linked_roots
+from voltlane.llm.cells import compared, dealt, linked_roots, star_edges
 from voltlane.llm.components import components
 from voltlane.llm.vectors import by_length, cosine, matrix, unit, usable
 from voltlane.scratch import staged
@@ -174,8 +174,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     reps = rows.filter("ok").groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     reps = staged(reps, "vectors")
     passed = filters(reps, reps.count())
-    edges = compared(dealt(staged(passed, "filters"), "filter", "rep", CELL), "filter", "u long, v long", _near)
-    close = staged(components(edges), "close")
+    edges = star_edges(dealt(staged(passed, "filters"), "filter", "rep", CELL), "filter", _near)
+    close = staged(components(edges, starred=True), "close")
     sizes = close.groupBy("component").agg(F.count("*").alias("n"))
     cells = dealt(close.join(reps, F.col("node") == F.col("rep")).drop("node"), "component", "rep", CELL, sizes)
     found = compared(cells, "component", "rep long, root long, links long", lambda table: _verified(table, threshold))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltlane.llm.arrow import bounded, group_starts, slices, strings
-from voltlane.llm.cells import compared, dealt, linked_roots
+from voltlane.llm.cells import compared, dealt, linked_roots, star_edges
 from voltlane.llm.components import components
 from voltlane.llm.shingles import N, mix, shingle_sets
 from voltlane.scratch import staged
@@ -158,7 +158,7 @@ def _candidates(table: pa.Table, least: int):
 
 
 def candidate_edges(reps: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """Edges between sets that met in a small node and whose minhashes agree nearly as often as the threshold."""
+    """Edges between sets that met in a small node and whose minhashes agree nearly as often as the threshold, as stars."""
     chance = min(1.0, 1 / (threshold * PLACES))
     roots = mix(np.arange(1, 1 + runs_needed(threshold, recall), dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
     sketch = reps.select("sid", "sketch")
@@ -180,7 +180,7 @@ def candidate_edges(reps: DataFrame, threshold: float, recall: float) -> DataFra
     rows = small.join(sketch, "sid").select("path", "sid", "sketch", "n")
     sizes = small.groupBy("path").agg(F.first("n").alias("n"))
     cells = dealt(rows.drop("n"), "path", "sid", LIMIT, sizes)
-    return compared(cells, "path", "u long, v long", lambda table: _candidates(table, least))
+    return star_edges(cells, "path", lambda table: _candidates(table, least))
 
 
 def shared_counts(sets: list[np.ndarray], block: int = 1 << 22) -> np.ndarray:
@@ -242,7 +242,8 @@ def _classes(docs: DataFrame, n: int, threshold: tuple[int, int], recall: float)
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.any_value("sketch").alias("sketch")
     )
     reps = staged(reps, "sets")
-    close = staged(components(candidate_edges(reps, threshold[0] / threshold[1], recall)), "close")
+    edges = candidate_edges(reps, threshold[0] / threshold[1], recall)
+    close = staged(components(edges, starred=True), "close")
     wanted = staged(close.join(reps, close["node"] == reps["sid"]).select("component", "sid", "rep", "copies"), "wanted")
     if wanted.count() <= BROADCAST_TEXTS:
         wanted = F.broadcast(wanted)
