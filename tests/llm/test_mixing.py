@@ -102,3 +102,11 @@ def test_messy_rows(spark):
 def test_plan_has_no_python(spark):
     plan = mixing.mix(docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_source_without_words(spark):
+    rows = [(1, "", "a"), (2, None, "a"), (3, "some words here", "b"), (4, "and others", "b")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in mixing.mix(table).collect()}
+    assert [found[k].copies for k in (1, 2)] == [0, 0] and found[1].target == 0 and found[3].copies == 1
+    assert sorted(r.doc_id for r in mixing.mixed(table).collect()) == [3, 4]

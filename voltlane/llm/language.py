@@ -431,9 +431,9 @@ def not_held_out(docs: DataFrame) -> Column:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """Documents whose language is known to a model learned from ``docs`` itself; the rejected ones go. The label of a
-    document never helps it to stay. Columns stay as they are."""
-    model = train(docs, not_held_out(docs))
+    """Documents whose language is known to a model learned from all labelled rows of ``docs`` itself; the rejected ones go.
+    Nothing is measured here, so no row is held out. Columns stay as they are."""
+    model = train(docs, F.lit(True))
     name = "__language"
     return detect(docs, model, name).filter(~F.col(f"{name}.rejected")).select(*[F.col(f"`{c}`") for c in docs.columns])
 

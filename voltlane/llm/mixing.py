@@ -138,7 +138,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFram
     of = units.groupBy("source").agg(
         F.sum("words").alias("source_size"), F.count_if(F.col("words") > 0).alias("n_units")
     )
-    of = targets(of, weights, most).withColumn("each", F.least(F.col("target") / F.col("source_size"), F.lit(float(most))))
+    share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    of = targets(of, weights, most).withColumn("each", F.least(share, F.lit(float(most))))
     of = of.withColumn("base", F.floor(F.coalesce(F.col("each"), F.lit(0.0)) + NEAR))
     of = staged(of.withColumn("p", F.greatest(F.col("each") - F.col("base"), F.lit(0.0))), "sources")
     if of.count() <= BROADCAST_SOURCES:
