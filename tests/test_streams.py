@@ -1,5 +1,7 @@
+import json
 import time
 
+import pandas as pd
 import pytest
 from helpers import call, full_session, reading, records
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from voltlane.operators import lines, running, sessions, topics
 from voltlane.plans import jobs
 from voltlane.sources import logs, messages
 from voltlane.sources.history import read_history
-from voltlane.streaming import job
+from voltlane.streaming import job, lifecycle
 from voltlane.streaming.pairing import match_stream
 
 
@@ -94,6 +96,32 @@ def test_lifecycle_forgets_idle_and_closed_sessions(spark, tmp_path):
     assert sorted(map(tuple, idle)) == [("a_1", 3), ("b_2", 1)]
 
 
+def test_lifecycle_passes_messages_as_one_column(spark, tmp_path):
+    """Each column of a session's few rows is converted by itself, which took most of the time."""
+    feed(spark, str(tmp_path / "in"), PARTS[0])
+    plan = lifecycle.session_lifecycle(typed_stream(spark, str(tmp_path / "in")))._jdf.queryExecution().analyzed()
+    assert "FlatMapGroupsInPandasWithState" in plan.nodeName() and plan.child().output().size() == 2
+
+
+def test_lifecycle_leaves_out_numbers_that_are_none_and_does_not_put_off_its_timer():
+    message = {"offset": 3, "chargerId": "c", "transactionId": "t", "action": S.METER, "eventTime": "2025-03-04T08:15:00.250000",
+               "isStop": False, "value": "{}"}
+    texts = [json.dumps(message | {"power": p, "soc": 5}) for p in ("NaN", 2.5)]
+    chunk = pd.DataFrame({"sessionId": ["c_t"] * 2, "message": texts})
+    summary = lifecycle._summary(lifecycle._columns(chunk))
+    assert (summary["powerSum"], summary["powerCount"], summary["voltageCount"], summary["socStart"]) == (2.5, 1, 0, 5.0)
+    assert summary["startTime"].isoformat() == "2025-03-04T08:15:00.250000" and summary["endTime"] is None
+
+    class Held:
+        hasTimedOut, exists, oldTimeoutTimestamp, waits = False, True, 1_000, []
+        get = tuple(c == "closed" or None for c in lifecycle._FIELDS)
+        getCurrentProcessingTimeMs = staticmethod(lambda: 400)
+        setTimeoutDuration = waits.append
+
+    out = list(lifecycle.SessionLifecycle(5_000, 9_000)(("c_t",), iter([chunk]), Held()))
+    assert [f["kind"].tolist() for f in out] == [["late", "late"]] and Held.waits == [600]
+
+
 def test_pairs_of_a_live_log(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     ddl = "line string, arrival timestamp, ord long"

@@ -5,7 +5,7 @@ from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql import functions as F
 
 from voltlane import schemas as S
 from voltlane.operators.topics import live_value
@@ -31,7 +31,7 @@ _SUMS = ("eventCount", "runningCount", "powerSum", "powerCount", "voltageSum", "
 
 
 def _known(values) -> list:
-    """The values that are there; pandas turns a missing number into NaN."""
+    """The values that are there; NaN counts as none."""
     return [v for v in values if v is not None and v == v]
 
 
@@ -47,9 +47,9 @@ def _summary(columns: dict[str, tuple]) -> dict:
     of = lambda kind, c: _known(v for v, a in zip(columns[c], action) if a == kind)
     stops = [t for t, is_stop in zip(times, columns["isStop"]) if is_stop]
     return {
-        "startTime": min(times).to_pydatetime(),
-        "endTime": max(stops).to_pydatetime() if stops else None,
-        "latest": max(times).to_pydatetime(),
+        "startTime": min(times),
+        "endTime": max(stops) if stops else None,
+        "latest": max(times),
         "eventCount": len(times),
         "runningCount": action.count(S.METER),
         "powerSum": float(sum(power)),
@@ -76,77 +76,69 @@ def _merge(name, a, b):
     return min(a, b) if name in _LEAST else max(a, b)
 
 
-class SessionLifecycle(StatefulProcessor):
-    """Emits each message as ``raw``, the session as ``state`` or, at its stop, ``closed``; after that ``late``.
+def _session(kind, key, state):
+    text = json.dumps({c: state[c] for c in _SESSION_FIELDS}, default=datetime.isoformat)
+    return [(kind, key[0], state["chargerId"], state["transactionId"], state["lastOffset"], text)]
 
-    A micro-batch counts as one set: messages that arrive together with the stop still belong to the session.
-    Rows are folded chunk by chunk, so a crowded session is never held whole."""
 
-    def __init__(self, closed_ms: int | None, idle_ms: int | None):
-        self.closed_ms, self.idle_ms = closed_ms, idle_ms
+def _messages(kind, key, columns, stops=True):
+    rows = zip(*(columns[c] for c in ("isStop", "chargerId", "transactionId", "offset", "value")))
+    return [(kind, key[0], *values) for is_stop, *values in rows if stops or not is_stop]
+
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("session", STATE)
+def _columns(chunk):
+    messages = [json.loads(m) for m in chunk["message"]]
+    columns = {c: tuple(m.get(c) for m in messages) for c in (*INPUT, "value")}
+    for c in ("power", "soc", "voltage"):
+        columns[c] = tuple(None if v is None else float(v) for v in columns[c])
+    return columns | {"eventTime": tuple(map(datetime.fromisoformat, columns["eventTime"]))}
 
-    @staticmethod
-    def _session(kind, key, state):
-        text = json.dumps({c: state[c] for c in _SESSION_FIELDS}, default=datetime.isoformat)
-        return [(kind, key[0], state["chargerId"], state["transactionId"], state["lastOffset"], text)]
 
-    @staticmethod
-    def _messages(kind, key, columns, stops=True):
-        rows = zip(*(columns[c] for c in ("isStop", "chargerId", "transactionId", "offset", "value")))
-        return [(kind, key[0], *values) for is_stop, *values in rows if stops or not is_stop]
+def _frame(rows):
+    return pd.DataFrame(rows, columns=S.columns(OUTPUT), dtype=object)
 
-    @staticmethod
-    def _columns(chunk):
-        return dict(zip(chunk.columns, zip(*chunk.itertuples(index=False, name=None))))
 
-    @staticmethod
-    def _frame(rows):
-        return pd.DataFrame(rows, columns=S.columns(OUTPUT), dtype=object)
+class SessionLifecycle:
+    """Emits each message as ``raw``, the session as ``state`` or, at its stop, ``closed``; after that ``late``.
+
+    A micro-batch counts as one set: messages that arrive together with the stop still belong to the session.
+    Rows are folded chunk by chunk, so a crowded session is never held whole."""
 
-    def _set_timer(self, at):
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(at)
+    def __init__(self, closed_ms: int | None, idle_ms: int | None):
+        self.closed_ms, self.idle_ms = closed_ms, idle_ms
 
-    def handleInputRows(self, key, rows, timerValues):
-        held = self.state.get()
-        state = dict.fromkeys(_FIELDS) if held is None else dict(zip(_FIELDS, held))
+    def __call__(self, key, rows, held):
+        if held.hasTimedOut:
+            state = dict(zip(_FIELDS, held.get))
+            held.remove()
+            if not state["closed"]:
+                yield _frame(_session("expired", key, state))
+            return
+        state = dict(zip(_FIELDS, held.get)) if held.exists else dict.fromkeys(_FIELDS)
         if state["closed"]:
             for chunk in rows:
-                yield self._frame(self._messages("late", key, self._columns(chunk)))
+                yield _frame(_messages("late", key, _columns(chunk)))
+            # A call without a timer would unset it; what is late doesn't put it off.
+            if self.closed_ms is not None:
+                held.setTimeoutDuration(max(1, held.oldTimeoutTimestamp - held.getCurrentProcessingTimeMs()))
             return
         waiting = []
         for chunk in rows:
             if waiting:
-                yield self._frame(waiting)
-            columns = self._columns(chunk)
-            waiting = self._messages("raw", key, columns, stops=False)
+                yield _frame(waiting)
+            columns = _columns(chunk)
+            waiting = _messages("raw", key, columns, stops=False)
             state["chargerId"], state["transactionId"] = columns["chargerId"][0], columns["transactionId"][0]
             for name, value in _summary(columns).items():
                 state[name] = _merge(name, state[name], value)
         if state["voltageCount"]:
             state["voltageAvg"] = state["voltageSum"] / state["voltageCount"]
         state["closed"] = state["endTime"] is not None
-        self.state.update(tuple(state[c] for c in _FIELDS))
-        yield self._frame(waiting + self._session("closed" if state["closed"] else "state", key, state))
+        held.update(tuple(state[c] for c in _FIELDS))
         wait = self.closed_ms if state["closed"] else self.idle_ms
         if wait is not None:
-            self._set_timer(timerValues.getCurrentProcessingTimeInMs() + wait)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if not self.state.exists():
-            return
-        state = dict(zip(_FIELDS, self.state.get()))
-        self.state.clear()
-        if not state["closed"]:
-            yield self._frame(self._session("expired", key, state))
-
-    def close(self) -> None:
-        pass
+            held.setTimeoutDuration(max(1, wait))
+        yield _frame(waiting + _session("closed" if state["closed"] else "state", key, state))
 
 
 def session_lifecycle(messages: DataFrame, closed_ms: int | None = None, idle_ms: int | None = None) -> DataFrame:
@@ -156,10 +148,14 @@ def session_lifecycle(messages: DataFrame, closed_ms: int | None = None, idle_ms
     drops sessions that never stop. Timers run on processing time, as an event-time watermark would drop the
     messages of a charger that reports late. With a timer set the query has something to do for ever, so a bounded
     run (``availableNow``) sets none and keeps the state."""
-    rows = messages.select(*INPUT, live_value().alias("value"))
-    return rows.groupBy("sessionId").transformWithStateInPandas(
-        statefulProcessor=SessionLifecycle(closed_ms, idle_ms),
-        outputStructType=OUTPUT,
-        outputMode="Append",
-        timeMode="None" if closed_ms is None and idle_ms is None else "ProcessingTime",
+    # One column of text: a session has a few messages in a batch, and each column of its rows is converted by itself.
+    time = F.date_format("eventTime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("eventTime")
+    fields = [time if c == "eventTime" else F.col(c) for c in INPUT if c != "sessionId"]
+    rows = messages.select("sessionId", F.to_json(F.struct(*fields, live_value().alias("value"))).alias("message"))
+    return rows.groupBy("sessionId").applyInPandasWithState(
+        SessionLifecycle(closed_ms, idle_ms).__call__,
+        OUTPUT,
+        STATE,
+        "append",
+        "NoTimeout" if closed_ms is None and idle_ms is None else "ProcessingTimeTimeout",
     )
